@@ -69,12 +69,17 @@ _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, number of its text, place) of each word in lower case, in order. A word is a longest run of ASCII
-    letters, digits and non-ASCII characters; the place counts bytes of the joined texts."""
-    blobs = [t.lower().encode("utf-8", "replace") for t in texts]
+def join(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts with a line break after each, ASCII letters in lower case, and where each begins."""
+    blobs = [t.encode("utf-8", "replace").lower() for t in texts]
     edge = np.cumsum([0] + [len(b) + 1 for b in blobs])
-    buf = np.frombuffer(b"\n".join(blobs) + b"\n", np.uint8)
+    return np.frombuffer(b"\n".join(blobs) + b"\n", np.uint8), edge
+
+
+def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, number of its text, place) of each word, in order. A word is a longest run of ASCII letters, digits and
+    non-ASCII characters, with ASCII letters in lower case; the place counts bytes of ``join(texts)``."""
+    buf, edge = join(texts)
     inside = _WORD[buf]
     change = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
     starts, ends = change[::2], change[1::2]

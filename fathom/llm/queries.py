@@ -17,6 +17,26 @@ def tokenizer_path(name: str = TOKENIZER_FILE) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fathom.llm.pii import find
+
+    return find(table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fathom.llm.quality import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fathom.llm.toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fathom.llm.packing import pack
 
@@ -30,7 +50,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op3_quality": op3_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_sharding": op7_sharding,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
