@@ -30,6 +30,18 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fathom.llm.vectors import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fathom.llm.vectors import exact_top_k
+
+    return exact_top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fathom.llm.toxicity import score, train
 
@@ -54,6 +66,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_sharding": op7_sharding,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_exact_top_k": op10_exact_top_k,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op8_embedding_near_dedup": """
+WITH RECURSIVE e AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+), n AS (
+  SELECT *, sqrt(list_inner_product(v, v)) AS norm FROM e
+  WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.r AS a, b.r AS b FROM n a JOIN n b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+  WHERE a.norm > 0 AND b.norm > 0 AND list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.93
+), reach AS (
+  SELECT r AS a, r AS b FROM e UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a
+), least AS (
+  SELECT reach.a, min(e.vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY reach.a
+), degree AS (
+  SELECT a, count(*) AS n FROM pairs GROUP BY a
+)
+SELECT e.vec_id, coalesce(degree.n, 0) AS n_links, least.component_id, e.vec_id = least.component_id AS kept
+FROM e JOIN least ON least.a = e.r LEFT JOIN degree ON degree.a = e.r
+""",
+    "op10_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -2,9 +2,10 @@
 
 The kernel of two tokens sums, over the letter subsequences of length 3 and 4 that both hold within ``SPAN`` letters,
 ``DECAY`` to the power of the letters spanned in each, and is normalised; so an insult with inserted or left-out
-letters stays close to the plain one. Landmarks are tokens of toxic sentences. A sentence, and so a text, is described
-by its largest kernel value with each landmark; the Nyström map turns these into coordinates for a linear machine with
-squared hinge loss, whose margin is calibrated to a probability.
+letters stays close to the plain one. Landmarks are tokens that labelled toxic sentences hold far more often than
+others. Tokens near a landmark are the instances: the Nyström map turns their kernel values into coordinates for a
+linear machine with squared hinge loss, which learns from how many toxic and other texts hold each. A text is judged by
+its largest margin and by how many tokens lie on the toxic side, calibrated to a probability by logistic regression.
 """
 
 from __future__ import annotations
@@ -102,7 +103,6 @@ class Landmarks:
     """Kernel values of tokens with fixed landmark tokens, as a table by subsequence."""
 
     names: list[str]
-    known: dict[str, int] = field(default_factory=dict)  # token -> row of values, -1: none is near
 
     def __post_init__(self) -> None:
         who, code, weight = _codes(self.names)
@@ -112,7 +112,6 @@ class Landmarks:
         self.of = key % max(1, len(self.names))
         self.begin = np.searchsorted(key // max(1, len(self.names)), np.arange(_WIDTH + 1)).astype(np.int32)
         self.held = self.begin[1:] > self.begin[:-1]
-        self.values: list[np.ndarray] = []
 
     def __reduce__(self):  # tasks get the names alone
         return Landmarks, (self.names,)
@@ -145,44 +144,48 @@ class Landmarks:
         first = np.cumsum([0] + [len(p) for p in parts])[:-1]
         return np.maximum.reduceat(out, first, axis=0) if len(flat) else out
 
-    def describe(self, texts: list[str]) -> np.ndarray:
-        """For each text the largest kernel value with each landmark; values under NEAR count as 0."""
+
+FEATURES = 3
+
+
+@dataclass
+class Machine:
+    landmarks: Landmarks
+    weight: np.ndarray  # over kernel values: the machine's weights through the Nyström map
+    bias: float
+    logit: np.ndarray  # over the features of a text, the constant last
+    known: dict[str, float] = field(default_factory=dict)
+
+    def __reduce__(self):  # what is known of tokens stays with its worker
+        return Machine, (self.landmarks, self.weight, self.bias, self.logit)
+
+    def margins(self, plains: list[str]) -> np.ndarray:
+        """The machine's margin of each string; -1 where no landmark is near."""
+        k = self.landmarks.kernel(plains)
+        return np.where(k.max(1, initial=0) >= NEAR, np.where(k >= NEAR, k, 0) @ self.weight + self.bias, -1.0)
+
+    def features(self, texts: list[str]) -> np.ndarray:
+        """Largest margin, and logarithms of how many different tokens have a margin over 0 and over 0.5."""
         sets = [tokens(t) for t in texts]
         if len(self.known) > 1_000_000:
             self.known.clear()
-            self.values.clear()
         new = sorted(set().union(*sets).difference(self.known)) if sets else []
         for a in range(0, len(new), 50_000):
             letters = [plain(t) for t in new[a : a + 50_000]]
             distinct = sorted(set(letters))
-            k = self.kernel(distinct)
-            k[k < NEAR] = 0
-            row = dict.fromkeys(distinct, -1)
-            for i in np.flatnonzero(k.max(1, initial=0) > 0).tolist():
-                row[distinct[i]] = len(self.values)
-                self.values.append(k[i])
-            self.known.update(zip(new[a : a + 50_000], map(row.__getitem__, letters), strict=True))
-        out = np.zeros((len(texts), len(self.names)))
+            margin = dict(zip(distinct, self.margins(distinct).tolist(), strict=True))
+            self.known.update(zip(new[a : a + 50_000], map(margin.__getitem__, letters), strict=True))
+        out = np.zeros((len(texts), FEATURES))
         get = self.known.__getitem__
         for i, s in enumerate(sets):
-            at = set(map(get, s))
-            at.discard(-1)
-            if at:
-                out[i] = np.max([self.values[j] for j in at], axis=0)
+            found = [m for m in map(get, s) if m > -1.0]
+            top = max(found, default=-1.0)
+            out[i] = max(-1.0, min(top, 2.0)), np.log1p(sum(m > 0 for m in found)), np.log1p(sum(m > 0.5 for m in found))
         return out
 
-
-@dataclass
-class Machine:
-    landmarks: Landmarks
-    weight: np.ndarray  # over kernel values: the machine's weights through the Nyström map
-    bias: float
-    slope: float
-    offset: float
-
     def predict(self, texts: list[str]) -> np.ndarray:
-        margin = self.landmarks.describe(texts) @ self.weight + self.bias
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
+        raw = self.features(texts) @ self.logit[:-1] + self.logit[-1]
+        return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
 def choose(candidates: list[str], most: int, apart: float = 0.8) -> list[str]:
@@ -200,46 +203,49 @@ def choose(candidates: list[str], most: int, apart: float = 0.8) -> list[str]:
     return taken
 
 
-def fit(x: np.ndarray, y: np.ndarray, landmarks: Landmarks, cost: float = 10.0) -> Machine:
-    """A linear machine with squared hinge loss after the Nyström map, by Newton steps; then a logistic calibration."""
+def fit_tokens(landmarks: Landmarks, names: list[str], bad: np.ndarray, good: np.ndarray, cost: float = 0.3) -> tuple[np.ndarray, float]:
+    """A linear machine with squared hinge loss over Nyström coordinates, by Newton steps. Each token stands on the
+    toxic side as often as toxic texts hold it, and on the other side as often as others do."""
     m = len(landmarks.names)
-    if not m or not len(x) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
-        p = min(max(share, 1e-3), 1 - 1e-3) if len(y) else 1e-3
-        return Machine(landmarks, np.zeros(m), 0.0, 0.0, float(np.log(p / (1 - p))))
+    if not m or not names:
+        return np.zeros(m), -1.0
     k = landmarks.kernel(landmarks.names).astype(float)
-    value, vector = np.linalg.eigh((k + k.T) / 2 + 1e-6 * np.eye(m))
-    nystrom = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    z = np.column_stack([x @ nystrom, np.ones(len(x))])
-    s = 2 * y - 1
-    # classes weigh alike
-    c = np.where(y > 0, cost * len(y) / (2 * y.sum()), cost * len(y) / (2 * (len(y) - y.sum())))
-    w = np.zeros(m + 1)
-    ridge = np.eye(m + 1)
-    ridge[m, m] = 1e-6
-    for _ in range(30):
+    value, vector = np.linalg.eigh((k + k.T) / 2)
+    nystrom = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-2))) @ vector.T
+    x = landmarks.kernel(names).astype(float)
+    x[x < NEAR] = 0
+    one = np.column_stack([x @ nystrom, np.ones(len(x))])
+    z, s, c = np.vstack([one, one]), np.repeat([1.0, -1.0], len(one)), cost * np.concatenate([bad, good])
+    w, ridge = np.zeros(m + 1), np.diag(np.append(np.ones(m), 1e-6))
+    for _ in range(40):
         on = s * (z @ w) < 1
         zc = z[on] * c[on, None]
         new = np.linalg.solve(ridge + zc.T @ z[on], zc.T @ s[on])
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
-    margin = z @ w
-    # Platt's targets keep the probabilities from 0 and 1
-    goal = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
-    a, b = 1.0, 0.0
+    return nystrom @ w[:m], float(w[m])
+
+
+def fit_texts(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Logistic regression by Newton steps; without both labels the constant tells their share."""
+    z = np.column_stack([x, np.ones(len(x))]) if len(x) else np.zeros((0, FEATURES + 1))
+    w = np.zeros(FEATURES + 1)
+    share = (y.sum() + 0.5) / (len(y) + 100) if len(y) else 0.001
+    w[-1] = np.log(share / (1 - share))
+    if not len(x) or y.min() == y.max():
+        return w
+    keep_small = np.diag(np.append(np.full(FEATURES, ridge), 1e-6))
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
-        g = np.array([((p - goal) * margin).sum(), (p - goal).sum()])
-        h = p * (1 - p)
-        hess = np.array([[(h * margin**2).sum(), (h * margin).sum()], [(h * margin).sum(), h.sum()]]) + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, g)
-        step *= min(1.0, 2.0 / max(1e-9, float(np.abs(step).max())))
-        a, b = a - step[0], b - step[1]
-    return Machine(landmarks, nystrom @ w[:m], float(w[m]), float(a), float(b))
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + keep_small + 1e-6 * np.eye(len(w)), z.T @ (p - y) + keep_small @ w)
+        w = w - step * min(1.0, 3.0 / max(1e-9, float(np.abs(step).max())))
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int = 4, held_out: int = 2, most_rows: int = 12_000, most_landmarks: int = 160, most_candidates: int = 2_000, id_col: str = "doc_id", text_col: str = "text") -> Machine:
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int = 4, held_out: int = 2, most_rows: int = 12_000, most_landmarks: int = 160, most_candidates: int = 2_000, most_tokens: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Machine:
     """Fits on at most ``most_rows`` labelled rows."""
     from fathom.llm._store import keep
 
@@ -261,22 +267,34 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int
     if n1 and n0:
         seen = sample.mapInArrow(count, "token string, bad long, good long").groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         # log-likelihood gain of a token over the share of toxic rows; chance gives one token in some hundreds so much
-        seen = keep(seen.filter(F.length("token").between(3, 32) & (F.col("bad") > 0)))
+        seen = keep(seen.filter(F.length("token").between(3, 32)))
         total, base = F.col("bad") + F.col("good"), n1 / (n1 + n0)
         share = F.col("bad") / total
         other = F.when(F.col("good") > 0, F.col("good") * F.log((1 - share) / (1 - base))).otherwise(0.0)
         told = seen.withColumn("gain", F.col("bad") * F.log(share / base) + other).filter((share >= 4 * base / (1 + 3 * base)) & (F.col("gain") >= float(np.log(max(2, seen.count()))) - 1))
         names = [r["token"] for r in told.orderBy(F.desc("gain"), "token").limit(most_candidates).collect()]
-    landmarks = Landmarks(choose(names, most_landmarks))
+    machine = Machine(Landmarks(choose(names, most_landmarks)), np.zeros(0), -1.0, np.zeros(FEATURES + 1))
+    if names:
+        landmarks = machine.landmarks
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(landmarks.kernel(numbers(b, "token").to_pylist()).max(1, initial=0) >= NEAR))
+
+        close = seen.mapInArrow(near, seen.schema).orderBy(F.desc(F.col("bad") + F.col("good")), "token").limit(most_tokens).collect()
+        machine.weight, machine.bias = fit_tokens(landmarks, [r["token"] for r in close], np.array([r["bad"] for r in close], float), np.array([r["good"] for r in close], float))
+    else:
+        machine.weight = np.zeros(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 4 << 20):
-                x = landmarks.describe(strings(b, "text"))
+                x = machine.features(strings(b, "text"))
                 yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), pa.array(list(x), pa.list_(pa.float64())), numbers(b, "y")], ["doc_id", "x", "y"])
 
     rows = sorted((r["doc_id"], list(r["x"]), r["y"]) for r in sample.mapInArrow(run, "doc_id long, x array<double>, y int").collect())
-    return fit(np.array([x for _, x, _ in rows], float).reshape(len(rows), len(landmarks.names)), np.array([float(y > 0) for _, _, y in rows]), landmarks)
+    machine.logit = fit_texts(np.array([x for _, x, _ in rows], float).reshape(len(rows), FEATURES), np.array([float(y > 0) for _, _, y in rows]))
+    return machine
 
 
 _MACHINES: dict[str, Machine] = {}
@@ -286,7 +304,7 @@ def _kept(model: Machine) -> Machine:
     """The Python worker's copy of a machine, so that what it knows of tokens outlives a task."""
     import hashlib
 
-    name = hashlib.md5(repr(model.landmarks.names).encode() + model.weight.tobytes()).hexdigest()
+    name = hashlib.md5(repr(model.landmarks.names).encode() + model.weight.tobytes() + model.logit.tobytes()).hexdigest()
     if name not in _MACHINES:
         _MACHINES.clear()
         _MACHINES[name] = model
