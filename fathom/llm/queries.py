@@ -23,6 +23,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fathom.llm.minhash import classes
+
+    return classes(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fathom.llm.quality import score, train
 
@@ -63,6 +69,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_quality": op3_quality,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_sharding": op7_sharding,
