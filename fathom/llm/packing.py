@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fathom.llm._store import keep
-from fathom.llm._text import slices, span_hashes, strings
+from fathom.llm._text import slices, strings
+from fathom.llm._units import UnitMemo
 
 _KIND: np.ndarray | None = None
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
@@ -83,21 +84,20 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class Encoder:
+class Encoder(UnitMemo):
     """Ids of many texts by a byte-level BPE file of the tokenizers library.
 
-    Each distinct unit is encoded once and remembered in a direct-mapped table; the memory is emptied when it holds
-    ``most`` units. Single units are merged by tiktoken with the ranks of the same file where both libraries agree on
+    Single units are merged by tiktoken with the ranks of the same file where both libraries agree on
     a probe (their ids are then equal, and it is four times as fast), else by the tokenizers library.
     """
 
-    SLOTS = 1 << 21
     PROBE = (" hello", "Größe", " übermäßig", "tion", " 12345", "\n\n", "###", " %%%", "中文", " loooooong", "xqzjkv", "'re", " \u200b", "naïveté")
 
     def __init__(self, path: str, most: int = 2_000_000):
         from tokenizers import Tokenizer
 
-        self.tok, self.most = Tokenizer.from_file(path), most
+        super().__init__(most)
+        self.split, self.tok = pretokens, Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.unit = lambda u: self.tok.encode(u, add_special_tokens=False).ids
         try:
@@ -110,54 +110,12 @@ class Encoder:
                 self.unit = core.encode_ordinary
         except (ImportError, KeyError, ValueError):
             pass
-        self.clear()
-
-    def clear(self) -> None:
-        self.key, self.row = np.zeros(self.SLOTS, np.uint64), np.zeros(self.SLOTS, np.int32)
-        self.begin, self.count, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
-        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
-
-    def _learn(self, units: list[str]) -> np.ndarray:
-        lists = [self.unit(u) for u in units]
-        count = np.fromiter(map(len, lists), np.int32, len(lists))
-        ids = np.fromiter((i for x in lists for i in x), np.uint32, int(count.sum()))
-        while self.n + len(units) > len(self.begin):
-            self.begin, self.count = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.count, 2 * len(self.count))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.begin[self.n : self.n + len(units)] = self.used + np.cumsum(count) - count
-        self.count[self.n : self.n + len(units)] = count
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.n += len(units)
-        return np.arange(self.n - len(units), self.n, dtype=np.int32)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, one after another, and how many each has."""
         if any(s in t for s in self.special for t in texts):
             lists = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
             return np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int64)
-        cp, starts, ends, doc = pretokens(texts)
-        if not len(starts):
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        if self.n > self.most:
-            self.clear()
-        h = span_hashes(cp, starts, ends) | np.uint64(1)  # never the 0 of an empty slot
-        slot = (h >> np.uint64(43)).astype(np.int64)
-        row = self.row[slot]
-        miss = np.flatnonzero(self.key[slot] != h)
-        if len(miss):
-            keys, first, back = np.unique(h[miss], return_index=True, return_inverse=True)
-            at = miss[first]
-            joined = cp.tobytes()
-            rows = self._learn([joined[4 * x : 4 * y].decode("utf-32-le", "surrogatepass") for x, y in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-            row[miss] = rows[back]
-            self.key[slot[at]], self.row[slot[at]] = keys, rows
-        count = self.count[row].astype(np.int64)
-        upto = np.cumsum(count)
-        place = np.repeat(self.begin[row] - (upto - count), count)
-        place += np.arange(upto[-1])
-        return self.flat[place], np.bincount(doc, weights=count, minlength=len(texts)).astype(np.int64)
+        return super().encode(texts)
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -55,6 +55,19 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fathom.llm.sentencepiece import encode
+
+    return encode(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fathom.llm.html import extract, train
+
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, train(pages))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fathom.llm.packing import pack
 
@@ -71,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_quality": op3_quality,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_html_extraction": op5_html_extraction,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_sharding": op7_sharding,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
