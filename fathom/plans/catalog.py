@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from fathom.plans.adapt import ORACLE_SQL, QUERIES
 
+MODULES = ("q_clean", "q_aggregate", "q_series")
+for _name in MODULES:
+    import_module(f"fathom.plans.{_name}")
 
-def monthly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count("*").alias("n_orders"))
-
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"monthly_demand": monthly_demand}
-ORACLE_SQL: dict[str, str] = {
-    "monthly_demand": "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n_orders FROM orders GROUP BY 1",
-}
+__all__ = ["ORACLE_SQL", "QUERIES"]
