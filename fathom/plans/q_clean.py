@@ -155,9 +155,9 @@ def complete_panel(spark: SparkSession, d: str) -> DataFrame:
     return clean.without_incomplete(df, "market", "country", "y").groupBy("market", "country").agg(F.count("*").alias("n"))
 
 
-@query("exclude_contains", "SELECT p_partkey, p_type FROM part WHERE NOT contains(upper(p_type), 'BRASS') AND NOT contains(upper(p_type), 'SMALL')")
+@query("exclude_contains", "SELECT p_partkey, p_type FROM part WHERE NOT contains(upper(p_type), 'PROMO') AND NOT contains(upper(p_type), 'SMALL')")
 def exclude_contains(spark: SparkSession, d: str) -> DataFrame:
-    return clean.excluding_text(load(spark, d, "part").select("p_partkey", "p_type"), "p_type", "brass", "small")
+    return clean.excluding_text(load(spark, d, "part").select("p_partkey", "p_type"), "p_type", "promo", "small")
 
 
 @query("group_keys_present", f"SELECT * FROM ({_NULLED}) t WHERE status IS NOT NULL AND trim(status) <> '' AND grade IS NOT NULL AND trim(grade) <> ''")
