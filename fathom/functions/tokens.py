@@ -12,7 +12,7 @@ def flat_tokens(column: str | Column) -> Column:
     """Parts between commas, semicolons and colons outside parentheses; parentheses stay in their part."""
     text = F.col(column) if isinstance(column, str) else column
     parts = F.split(F.coalesce(text, F.lit("")), r"[,;:](?![^()]*\))")
-    return F.filter(F.transform(parts, F.trim), lambda x: x != "")
+    return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
 def tokens(column: str | Column, depth: int = 3) -> Column:
