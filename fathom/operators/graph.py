@@ -47,7 +47,10 @@ def connected(edges: DataFrame, rounds: int = 50) -> DataFrame:
     round is checkpointed where a checkpoint folder is set."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().cache()
     spark = edges.sparkSession
-    safe = spark.sparkContext._jsc.sc().getCheckpointDir().isDefined()
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where:
+        spark.sparkContext.setCheckpointDir(where)
+    safe = bool(where)
     now = both.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node"))
     for _ in range(rounds):
         heard = both.join(now, both["b"] == now["node"]).groupBy("a").agg(F.min("root").alias("heard"))

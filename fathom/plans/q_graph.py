@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fathom.operators import graph
+from fathom.operators import cluster, graph
 from fathom.operators import sets as set_ops
 from fathom.plans.adapt import query
 from fathom.plans.q_sets import _CELLS, _clusters, order_skills
@@ -65,3 +65,10 @@ def graph_stats(spark: SparkSession, d: str) -> DataFrame:
 def greedy_cover(spark: SparkSession, d: str) -> DataFrame:
     s = set_ops.itemsets(order_skills(spark, d), "skills").withColumn("skills", F.split("itemset", ", "))
     return graph.greedy_cover(s, "itemset", "n", "skills", _clusters(spark, d, 40), 10)
+
+
+@query("cluster_build")
+def cluster_build(spark: SparkSession, d: str) -> DataFrame:
+    s = set_ops.itemsets(order_skills(spark, d), "skills").withColumn("skills", F.split("itemset", ", "))
+    out = cluster.build(s, _clusters(spark, d, 40), 10, ["anvil", "blue", "bolt", "cold", "gear", "hot", "ring"], 50)
+    return out.withColumn("members", F.array_join("members", ", "))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,9 +71,9 @@ def skill_embedding(spark: SparkSession, d: str) -> DataFrame:
 def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
     from fathom.sources import files
 
-    path = tempfile.mkdtemp(prefix="fathom-csv-")
-    files.write_csv(load(spark, d, "nation"), f"file://{path}/n")
-    return files.read_csv(spark, f"file://{path}/n", ["n_nationkey", "n_name", "n_regionkey"], "n_nationkey int, n_name string, n_regionkey int")
+    path = f"{files.scratch(spark)}/csv-{uuid.uuid4().hex}"
+    files.write_csv(load(spark, d, "nation"), path)
+    return files.read_csv(spark, path, ["n_nationkey", "n_name", "n_regionkey"], "n_nationkey int, n_name string, n_regionkey int")
 
 
 @query("event_stream_counts", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tempfile
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def scratch(spark: SparkSession) -> str:
+    """The folder that all executors share (``spark.checkpoint.dir``); a new local one only where that is unset."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        where = "file://" + tempfile.mkdtemp(prefix="fathom-")
+        spark.conf.set("spark.checkpoint.dir", where)
+    return where.rstrip("/")
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, schema: StructType | str | None = None, lenient: bool = False) -> DataFrame:
     """One or many CSV files with a header. Only the listed columns are kept, and a missing one is an error; without a
     schema, types are inferred; lenient reading turns unreadable fields into nulls."""
