@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from fathom.llm._store import keep
 
 
-def _print(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root, and no root on another node."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("hangs")).union(edges.select("b", F.lit(0)))
+    seen = ends.groupBy("v").agg(F.sum("hangs").alias("hangs"), F.count("*").alias("n"))
+    return seen.filter("hangs > 1 or hangs > 0 and n > hangs").isEmpty()
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -19,19 +22,14 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     round. Edges of a node to itself are dropped; a node without others is not listed.
     """
     now = keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    print_ = _print(now)
     for _ in range(most_rounds):
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = keep(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = keep(large.filter("a <> b").distinct())
-        down = keep(large.groupBy("a").agg(F.min("b").alias("m")))
-        hung = large.join(down, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        after = keep(hung.union(down.select("a", F.col("m").alias("b"))).distinct())
-        told = _print(after)
-        now = after
-        if told == print_:
+        if _settled(now):
             break
-        print_ = told
+        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = keep(both.join(least, "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        hung = large.join(down, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")))).alias("e")).select("e.a", "e.b")
+        now = keep(hung.filter("a <> b").distinct())
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -8,9 +8,9 @@ registers of two documents estimates the probability Jaccard similarity
     J_P(x, y) = sum over common i of 1 / sum_j max(x_j / x_i, y_j / y_i),
 
 which is the plain Jaccard similarity where all weights are equal. Registers are cut into bands; documents that share
-a band are compared with the band's smallest member first, verified exactly, and joined into components. Bands that
-still hold several components are paired fully where they are small, and refined by a second (and third) band where
-they are large, so neither copies nor shared passages make all pairs of a group.
+a band are compared with the band's smallest member first, verified exactly, and joined into components. In bands that
+still hold several components, members outside the main one look for missing links, nearest first, in blocks inside
+tasks; only verified links that join something leave a task, so a group never turns into all its pairs.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ from fathom.llm._store import keep
 from fathom.llm._text import mix, numbers, shingles, slices, strings
 
 ROWS, BANDS, WIDTH, SIMILAR = 6, 32, 5, 0.8
-SMALL = 32
 _BITS = 24
 
 
@@ -168,13 +167,64 @@ def _stars(keys: DataFrame) -> DataFrame:
     return keys.join(centre, "key").filter("cid <> b").groupBy(F.col("cid").alias("a"), "b").agg(F.count("*").alias("n"))
 
 
-def _roots(keys: DataFrame, links: DataFrame) -> DataFrame:
-    """keys with each member's root by the links so far."""
-    roots = keep(components(links))
-    return keys.join(roots, keys["cid"] == roots["node"], "left").select("key", "cid", "last", F.coalesce("root", "cid").alias("root"))
+def _split_keys(keys: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members with their roots, and the keys that still hold several: (key, size, most: members of the commonest root,
+    top: that root)."""
+    rooted = keep(keys.join(roots, keys["cid"] == roots["node"], "left").select("key", "cid", "last", F.coalesce("root", "cid").alias("root")))
+    parts = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
+    split = parts.groupBy("key").agg(F.sum("n").alias("size"), F.max("n").alias("most"), F.max_by("root", F.struct("n", "root")).alias("top"), F.count("*").alias("roots"))
+    return rooted, keep(split.filter("roots > 1").drop("roots"))
+
+
+def _missing_links(members: DataFrame, grouped: DataFrame, packs: DataFrame, similar: float, block: int = 512, least: float = 0.7) -> DataFrame:
+    """(a, b): verified links between members of one key that have different roots, as many as join what can be joined.
+
+    members: (key, last, size, cid, root, asked). Members stand in blocks and the asked ones visit each block, with
+    registers and shingles. A pair is looked at in the first band that it shares, if its registers agree in ``least``
+    of all (three deviations under the threshold), nearest first, and only while its roots are not joined there."""
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    full = members.join(grouped.select("cid", "sig"), "cid").join(packs, "cid")
+    cols = ["key", "block", "last", "cid", "root", "asked", "sig", "pack"]
+    m = full.withColumn("block", F.pmod(F.xxhash64("cid"), blocks).cast("int")).select(*cols).toDF(*cols)
+    q = full.filter("asked").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(*cols).toDF(*cols)
+
+    def join(member: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
+        a: list[int] = []
+        b: list[int] = []
+        if len(member) and len(query):
+            sig = np.stack([np.frombuffer(s, np.uint32) for s in member["sig"]])
+            cid, asked, band = member["cid"].to_numpy(), member["asked"].to_numpy(), int(member["last"].iloc[0])
+            known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            up: dict[int, int] = {}
+
+            def find(r: int) -> int:
+                while up.get(r, r) != r:
+                    r = up[r]
+                return r
+
+            roots = member["root"].tolist()
+            for c, r, s, p in zip(query["cid"], query["root"], query["sig"], query["pack"], strict=True):
+                same = sig == np.frombuffer(s, np.uint32)
+                near = np.flatnonzero((same.mean(1) >= least) & (~asked | (cid < c)))
+                near = near[same[near].reshape(len(near), BANDS, ROWS).all(2).argmax(1) == band]
+                own = None
+                for k in near[np.argsort(-same[near].mean(1), kind="stable")].tolist():
+                    x, y = find(r), find(roots[k])
+                    if x == y:
+                        continue
+                    own = own or _unpack(p)
+                    if k not in known:
+                        known[k] = _unpack(member["pack"].iloc[k])
+                    if probability_jaccard(own, known[k]) >= similar:
+                        up[max(x, y)] = min(x, y)
+                        a.append(int(c))
+                        b.append(int(cid[k]))
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
+    return m.groupBy("key", "block").cogroup(q.groupBy("key", "block")).applyInPandas(join, "a long, b long")
 
-def classes(docs: DataFrame, similar: float = SIMILAR, levels: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def classes(docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id, component_id, kept for each row.
 
     Rows of equal text form a class (class_id: its smallest doc_id); classes of similarity ``similar`` or more are
@@ -195,33 +245,13 @@ def classes(docs: DataFrame, similar: float = SIMILAR, levels: int = 3, id_col:
     star = keep(_stars(keys))
     involved = keys.select("cid").distinct().join(grouped.select("cid", "least"), "cid")
     packs = keep(_packs(rows, keep(involved)))
-    best = star.groupBy("a").agg(F.max(F.struct("n", -F.col("b"))).alias("top")).select("a", (-F.col("top.col2")).alias("b"))
-    links = keep(_verify(best, packs, similar))
-    for level in range(levels):
-        roots = keep(components(links))
-        root = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))  # noqa: E731, B023
-        open_ = star.join(root("a"), "a", "left").join(root("b"), "b", "left").filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-        if level == 0:
-            open_ = open_.join(best, ["a", "b"], "left_anti")
-        links = keep(links.union(_verify(open_, packs, similar)))
-        rooted = keep(_roots(keys, links))
-        split = keep(rooted.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("key", "size"))
-        last_level = level == levels - 1
-        near = rooted.join(split.filter(F.col("size") <= SMALL), "key").select("key", "cid", "root")
-        x, y = near.toDF("key", "a", "ra"), near.toDF("key", "b", "rb")
-        pairs = x.join(y, "key").filter("a > b and ra <> rb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-        large = split.filter(F.col("size") > SMALL).select("key")
-        members = keep(rooted.join(large, "key").select("key", "cid", "last", "root"))
-        if last_level:
-            pairs = pairs.union(_near_in_blocks(members, grouped)).distinct()
-        links = keep(links.union(_verify(pairs, packs, similar)))
-        if last_level or members.isEmpty():
-            break
-        finer = members.join(banded, "cid").select("cid", "last", "key", F.posexplode("bands").alias("next", "band")).filter("next > last")
-        finer = finer.select(F.xxhash64("key", "band").alias("key"), "cid", F.col("next").alias("last")).distinct()
-        more = finer.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-        keys = keep(finer.join(more, "key", "left_semi").select("key", "cid", "last"))
-        star = keep(_stars(keys))
+    links = keep(_verify(star.select("a", "b"), packs, similar))
+    roots = keep(components(links))
+    rooted, split = _split_keys(keys, roots)
+    # beside one large component only those outside it ask
+    asked = (F.col("most") * 2 < F.col("size")) | (F.col("root") != F.col("top"))
+    open_ = keep(rooted.join(split, "key").select("key", "last", "size", "cid", "root", asked.alias("asked")))
+    links = keep(links.union(_missing_links(open_, grouped, packs, similar)))
     final = keep(components(links))
     told = grouped.select("cid", "least").join(final, grouped["cid"] == final["node"], "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))
     told = keep(told)
@@ -231,29 +261,6 @@ def classes(docs: DataFrame, similar: float = SIMILAR, levels: int = 3, id_col:
     return out.select("doc_id", "class_id", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
-def _near_in_blocks(members: DataFrame, grouped: DataFrame, block: int = 256) -> DataFrame:
-    """Pairs of members of large keys of the last level whose registers agree often enough, block against block."""
-    if members.isEmpty():
-        return members.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
-    sizes = members.groupBy("key").count()
-    own = members.join(sizes, "key").withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("cid"), "blocks").cast("int"))
-    own = own.join(grouped.select("cid", "sig"), "cid")
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j"))))
-    dealt = own.select("key", "cid", "root", "sig", pair.alias("p")).select("key", "p.i", "p.j", "cid", "root", "sig")
-
-    def near(f: pd.DataFrame) -> pd.DataFrame:
-        sig = np.stack([np.frombuffer(s, np.uint32) for s in f["sig"]])
-        root, cid = f["root"].to_numpy(), f["cid"].to_numpy()
-        a, b = [], []
-        for k in range(len(f)):
-            ok = np.flatnonzero(((sig == sig[k]).mean(1) >= 0.6) & (root != root[k]) & (cid < cid[k]))
-            a += [int(cid[k])] * len(ok)
-            b += cid[ok].tolist()
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-
-    return dealt.groupBy("key", "i", "j").applyInPandas(near, "a long, b long")
-
-
 def deduplicate(docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one of smallest id (of equal ids, the smallest text)."""
     told = classes(docs, similar, id_col=id_col, text_col=text_col).filter("kept").select("doc_id").distinct()
