@@ -199,38 +199,37 @@ def _top_of_block(ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: int, index
     """The k best of a block for one query: (rows, scores), exact.
 
     Segments (a component and a level of its values) are taken by descending impact, the query's weight times the
-    level's height over the component's lowest value. What a row has gathered bounds its score from below; adding what
-    the open segments and the levels' widths can still give bounds it from above. Segments are taken until the rows
-    whose upper bound reaches the k-th lower bound are few, or none is left; just those rows are scored exactly.
+    level's height over the component's lowest value, and credited to their rows. What a row has gathered bounds its
+    score from below; adding what the open segments and the levels' widths can still give bounds it from above. After
+    each batch of segments the rows that lead are scored exactly, and the k-th of these bounds the answer from below.
+    Segments are taken until the rows whose upper bound reaches it are few, or none is left; just those rows are scored
+    exactly. Dense vectors leave little to skip, so batches are large; ``slots`` holds each row's segments in a row.
     """
-    start, order, step, low, levels = index
+    slots, step, low, levels = index
     weight = np.abs(q)
     d_of, level = np.divmod(np.arange(x.shape[1] * levels), levels)
     # a level's height above its component's floor; negative weights read the levels from below
     height = np.where(q[d_of] >= 0, level, levels - 1 - level)
-    impact = weight[d_of] * step[d_of] * (height + 1)
-    rank = np.argsort(-impact, kind="stable")
-    rank = rank[weight[d_of[rank]] > 0]
-    gathered = np.zeros(len(x))
+    worth = (weight * step)[d_of]
+    rank = np.argsort(-worth * (height + 1), kind="stable")
+    rank = rank[worth[rank] > 0]
+    credit = np.zeros(x.shape[1] * levels)
     frontier = weight * step * levels
-    at, stride = 0, max(32, len(rank) // 12)
-    live = ids != own
-    possible = np.flatnonzero(live)
-    while True:
-        if live.sum() <= k:
-            break
-        best = np.partition(gathered[live], -k)[-k]
-        slack = frontier.sum()
-        possible = np.flatnonzero(live & (gathered + slack >= best))
-        if len(possible) <= 4 * k or at >= len(rank):
+    possible = np.flatnonzero(ids != own)
+    # what the score of a row at every floor would be
+    floor = float((q * np.where(q >= 0, low, low + step * levels)).sum())
+    few, at = max(4 * k, len(x) // 16), 0
+    for share in (0.7, 0.9, 1.0):
+        upto = int(np.ceil(len(rank) * share))
+        if len(possible) <= few or at >= upto:
             break
-        seg = rank[at : at + stride]
-        at += stride
-        n = start[seg + 1] - start[seg]
-        upto = np.cumsum(n)
-        rows = order[np.repeat(start[seg] - (upto - n), n) + np.arange(upto[-1])]
-        gathered += np.bincount(rows, np.repeat(weight[d_of[seg]] * step[d_of[seg]] * height[seg], n), len(x))
-        np.minimum.at(frontier, d_of[seg], weight[d_of[seg]] * step[d_of[seg]] * np.maximum(1, height[seg]))
+        seg, at = rank[at:upto], upto
+        credit[seg] = worth[seg] * height[seg]
+        np.minimum.at(frontier, d_of[seg], worth[seg] * np.maximum(1, height[seg]))
+        gathered = credit[slots[possible]].sum(1)
+        lead = possible[np.argpartition(gathered, -2 * k)[-2 * k :]]
+        best = np.partition(x[lead] @ q, -k)[-k]
+        possible = possible[gathered + frontier.sum() + floor + 1e-6 * (1 + abs(best)) >= best]
     score = x[possible] @ q
     top = np.lexsort((ids[possible], -score))[:k]
     return possible[top], score[top]
@@ -261,10 +260,7 @@ def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 25
             low, high = x.min(0), x.max(0)
             step = np.maximum((high - low + 1) / levels, 1e-9)
             code = np.minimum(((x - low) / step).astype(np.int64), levels - 1)
-            slot = (code + np.arange(width) * levels).T.ravel()
-            order = np.argsort(slot, kind="stable")
-            start = np.searchsorted(slot[order], np.arange(width * levels + 1))
-            index = (start, order % len(x), step, low, levels)
+            index = ((code + np.arange(width) * levels).astype(np.int32), step, low, levels)
             for own, qid, w in zip(query["vec_id"], query["qid"], qs, strict=True):
                 at, score = _top_of_block(ids, x, w, own, index, k)
                 out.append(pd.DataFrame({"qid": qid, "query_id": own, "vec_id": ids[at], "score": score.astype(np.int64)}))
