@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathom.llm._bitmap import bitmap, marked, slot
 from fathom.llm._components import components
 from fathom.llm._store import keep
 from fathom.llm._text import mix, numbers, shingles, slices, strings
@@ -113,15 +114,11 @@ def _sketch(docs: DataFrame, registers: int) -> DataFrame:
 
 def _packs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cid, pack) of the classes in ``wanted`` (cid, least): a fixed bitmap lets the scan skip other rows."""
-    bits = np.zeros(1 << _BITS, bool)
-    for r in wanted.select(F.shiftrightunsigned(F.xxhash64("least", "cid"), 64 - _BITS).cast("int").alias("b")).distinct().toLocalIterator():
-        bits[r["b"]] = True
-    packed = np.packbits(bits)
+    marks = bitmap(wanted, F.xxhash64("least", "cid"), _BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = np.unpackbits(packed).astype(bool)
         for whole in batches:
-            whole = whole.filter(pa.array(asked[np.array(numbers(whole, "slot").to_pylist(), np.int64)]))
+            whole = whole.filter(pa.array(marked(marks, np.array(numbers(whole, "slot").to_pylist(), np.int64))))
             for b in slices(whole, "text", 4 << 20):
                 texts = strings(b, "text")
                 doc, h, w = weighted(texts)
@@ -129,8 +126,8 @@ def _packs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 out = [_pack(h[x:y], w[x:y]) for x, y in zip(edge[:-1], edge[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), numbers(b, "cid"), pa.array(out, pa.binary())], ["doc_id", "cid", "pack"])
 
-    slot = F.shiftrightunsigned(F.xxhash64("doc_id", "cid"), 64 - _BITS).cast("int").alias("slot")
-    found = docs.select("doc_id", "cid", "text", slot).mapInArrow(run, "doc_id long, cid long, pack binary")
+    place = slot(F.xxhash64("doc_id", "cid"), _BITS).alias("slot")
+    found = docs.select("doc_id", "cid", "text", place).mapInArrow(run, "doc_id long, cid long, pack binary")
     own = found.join(wanted, (found["cid"] == wanted["cid"]) & (found["doc_id"] == wanted["least"]), "left_semi")
     return own.select("cid", "pack").dropDuplicates(["cid"])
 

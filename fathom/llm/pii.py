@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathom.llm._bitmap import bitmap, marked
 from fathom.llm._store import keep
 from fathom.llm._text import join, numbers, slices, strings, words
 
@@ -132,28 +133,20 @@ def contexts(docs: DataFrame, window: int, text_col: str = "text") -> DataFrame:
 BITS = 22
 
 
-def _bitmap(terms: DataFrame) -> np.ndarray:
-    """A fixed 2**BITS places, true for those of the terms: what a task need not look at further."""
-    bits = np.zeros(1 << BITS, bool)
-    for r in terms.select(F.shiftrightunsigned("term", 64 - BITS).cast("int").alias("b")).distinct().toLocalIterator():
-        bits[r["b"]] = True
-    return np.packbits(bits)
-
-
-def _hits(texts: list[str], packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hits(texts: list[str], marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h, doc, at = words(texts)
-    ok = np.unpackbits(packed)[(h >> np.uint64(64 - BITS)).astype(np.int64)].astype(bool)
+    ok = marked(marks, h >> np.uint64(64 - BITS))
     return h[ok], doc[ok], at[ok]
 
 
 def document_counts(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
     """(term, in how many documents it stands) for the given terms."""
-    packed = _bitmap(terms)
+    marks = bitmap(terms, F.col("term"), BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 4 << 20):
-                h, doc, _ = _hits(strings(b, "text"), packed)
+                h, doc, _ = _hits(strings(b, "text"), marks)
                 pair = np.unique(np.stack([h, doc.astype(np.uint64)]), axis=1) if len(h) else np.zeros((2, 0), np.uint64)
                 term, n = np.unique(pair[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([_long(term), pa.array(n.astype(np.int64))], ["term", "n"])
@@ -232,12 +225,12 @@ def _with_spans(docs: DataFrame, terms: DataFrame, schema: str, make: Callable[[
 
         return docs.mapInArrow(run, schema)
     # too many words for a task's memory: only the words of a text that are among them travel with it
-    packed = _bitmap(terms)
+    marks = bitmap(terms, F.col("term"), BITS)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 4 << 20):
-                h, doc, _ = _hits(strings(b, "text"), packed)
+                h, doc, _ = _hits(strings(b, "text"), marks)
                 key = np.array(numbers(b, "key").to_pylist(), np.int64)
                 pair = np.unique(np.stack([h, key[doc].view(np.uint64)]), axis=1) if len(h) else np.zeros((2, 0), np.uint64)
                 yield pa.RecordBatch.from_arrays([_long(pair[0]), _long(pair[1])], ["term", "key"])
@@ -291,7 +284,8 @@ def sanitise(docs: DataFrame, remove_at: float = 0.999, text_col: str = "text",
     """``docs`` with its texts rewritten: patterns become placeholders, disclosing words a general placeholder, words
     that disclose fully go. All other columns stay; a null text stays null."""
     terms = disclosing_terms(docs, text_col=text_col, **limits)
-    at = docs.columns.index(text_col)
+    names = docs.columns
+    at = names.index(text_col)
 
     def make(b: pa.RecordBatch, texts: list[str], base: list[list[Span]], extra: list[list[Span]], levels: np.ndarray) -> pa.RecordBatch:
         full = set(levels[0].view(np.uint64)[levels[1] >= remove_at].tolist())
@@ -305,9 +299,9 @@ def sanitise(docs: DataFrame, remove_at: float = 0.999, text_col: str = "text",
                 part += [t[done : max(a, done)], "" if word else PLACEHOLDERS[k]]
                 done = z
             out.append(None if was is None else "".join([*part, t[done:]]))
-        cols = [b.column(i) for i in range(len(docs.columns))]
+        cols = [b.column(i) for i in range(len(names))]
         cols[at] = pa.array(out, pa.string())
-        return pa.RecordBatch.from_arrays(cols, docs.columns)
+        return pa.RecordBatch.from_arrays(cols, names)
 
     return _with_spans(docs, terms, docs.schema, make, text_col)
 
