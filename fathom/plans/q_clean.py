@@ -149,7 +149,12 @@ def incomplete_panel(spark: SparkSession, d: str) -> DataFrame:
     return clean.incomplete(df, "market", "country", "y").withColumn("missing", F.concat_ws(",", F.transform("missing", lambda x: x.cast("string"))))
 
 
-@query("complete_panel", f", g AS ({_GAPPY}) SELECT market, country, count(*) AS n FROM g WHERE country NOT LIKE 'NATION_1%' GROUP BY ALL", orders=True)
+@query(
+    "complete_panel",
+    f""", g AS ({_GAPPY}), al AS (SELECT market, count(DISTINCT y) AS k FROM g GROUP BY market), own AS (SELECT market, country, count(DISTINCT y) AS k, count(*) AS n FROM g GROUP BY ALL)
+    SELECT own.market, country, n FROM own JOIN al ON al.market = own.market AND al.k = own.k""",
+    orders=True,
+)
 def complete_panel(spark: SparkSession, d: str) -> DataFrame:
     df = service_orders(spark, d).withColumn("y", F.year("rsd")).filter(~((F.col("y") == 1998) & F.col("country").startswith("NATION_1")))
     return clean.without_incomplete(df, "market", "country", "y").groupBy("market", "country").agg(F.count("*").alias("n"))
