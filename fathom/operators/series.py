@@ -112,7 +112,7 @@ def trajectory(yearly: DataFrame, keys: Sequence[str]) -> DataFrame:
     first, last = F.min_by("n", "year"), F.max_by("n", "year")
     span = F.max("year") - F.min("year")
     cagr = F.when((span > 0) & (first > 0), F.pow(last / first, 1.0 / span) - 1).otherwise(0.0)
-    g = yearly.groupBy(*keys).agg(cagr.alias("cagr"), F.abs(F.coalesce(F.corr("year", F.col("n").cast("double")), F.lit(0.0))).alias("trend_strength"), F.coalesce(F.try_divide(F.stddev_pop("n"), F.avg("n")), F.lit(0.0)).alias("cv"))
+    g = yearly.groupBy(*keys).agg(cagr.alias("cagr"), F.abs(F.coalesce(F.try_divide(F.covar_pop("year", F.col("n").cast("double")), F.stddev_pop("year") * F.stddev_pop("n")), F.lit(0.0))).alias("trend_strength"), F.coalesce(F.try_divide(F.stddev_pop("n"), F.avg("n")), F.lit(0.0)).alias("cv"))
     rule = F.when(F.col("cv") > 0.8, "Volatile").when((F.col("cagr") > 0.15) & (F.col("trend_strength") > 0.6), "Growing").when((F.col("cagr") < -0.15) & (F.col("trend_strength") > 0.6), "Declining").otherwise("Stable")
     return g.withColumn("trajectory_class", rule)
 

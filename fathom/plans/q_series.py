@@ -181,7 +181,7 @@ def country_seasonality(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "trajectory",
     """, y AS (SELECT country, cluster, year(rsd) AS year, count(*) AS n FROM so WHERE rsd < DATE '2001-01-01' GROUP BY ALL),
-    g AS (SELECT country, cluster, CASE WHEN max(year) > min(year) THEN pow(max_by(n, year) / min_by(n, year), 1.0 / (max(year) - min(year))) - 1 ELSE 0 END AS cagr, abs(coalesce(corr(year, n), 0)) AS trend_strength, coalesce(stddev_pop(n) / avg(n), 0) AS cv FROM y GROUP BY ALL)
+    g AS (SELECT country, cluster, CASE WHEN max(year) > min(year) THEN pow(max_by(n, year) / min_by(n, year), 1.0 / (max(year) - min(year))) - 1 ELSE 0 END AS cagr, abs(coalesce(covar_pop(year, n) / nullif(stddev_pop(year) * stddev_pop(n), 0), 0)) AS trend_strength, coalesce(stddev_pop(n) / avg(n), 0) AS cv FROM y GROUP BY ALL)
     SELECT country, cluster, round(cagr, 5) AS cagr, round(trend_strength, 5) AS trend_strength, round(cv, 5) AS cv, CASE WHEN cv > 0.8 THEN 'Volatile' WHEN cagr > 0.15 AND trend_strength > 0.6 THEN 'Growing' WHEN cagr < -0.15 AND trend_strength > 0.6 THEN 'Declining' ELSE 'Stable' END AS trajectory_class FROM g""",
     orders=True,
 )
