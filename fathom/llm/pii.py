@@ -1,14 +1,15 @@
 """Sanitising of personal data by what corpus co-occurrence discloses.
 
-Protected entities are the values of four patterns (email, ip, card, phone). For each entity the words around its
-mentions are counted over all documents. A word t discloses the entity c as far as its pointwise mutual information
-reaches the information content of c:
+Protected entities are the values of four patterns (email, ip, card, phone), and each kind as a whole. The words of
+whole documents that mention an entity are counted with it; copies of one text count once. A word t discloses the
+entity c as far as its pointwise mutual information reaches the information content of c:
 
     disclosure(t, c) = log(p(t, c) / (p(t) p(c))) / -log p(c)
 
-with probabilities over documents; 1 means that t stands in no document without c. Words that reach ``generalise_at``
-for some entity, seen with it in ``support`` different contexts at least (so that copies of one text count once), are
-generalised to a placeholder; those that reach ``remove_at`` are removed. Patterns themselves are always replaced.
+with probabilities over distinct texts; 1 means that t stands in no text without c. So that this holds for entities and
+words seen once or twice, ``sure`` takes for p(c | t) its lower bound by Wilson (one side, 95 %): words whose bound
+reaches ``generalise_at`` for some entity are generalised to a placeholder; those of them whose disclosure reaches
+``remove_at`` are removed. Patterns themselves are always replaced.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathom.llm._bitmap import bitmap, marked
@@ -88,46 +89,36 @@ def _entity(kind: int, value: str) -> int:
 _AROUND = re.compile(r"[A-Za-z0-9\x80-\U0010ffff]+")
 
 
-def _context_rows(texts: list[str], window: int) -> list[tuple[int, int, int, int]]:
-    """(entity, word, context, n) for the words on both sides of each mention, each text once; n is 1 for the first
-    context of an entity and word in a text, else 0. The word 0 stands for the entity itself."""
-    out: list[tuple[int, int, int, int]] = []
-    asked: list[tuple[int, tuple[str, ...], int]] = []
+def _mentions(texts: list[str]) -> Iterator[tuple[int, list[int], np.ndarray]]:
+    """(number of the text, entities, different words outside the entities) of each text that mentions any. Each kind
+    is an entity too: -1 - its number."""
     for number, t in enumerate(texts):
         spans = base_spans(t)
-        seen = set()
-        for a, k, b in spans:
-            left = _AROUND.findall(t[max(0, a - 24 * window) : a])[-window:]
-            right = _AROUND.findall(t[b : b + 24 * window])[:window]
-            seen.add((_entity(k, t[a:b]), tuple(sorted({w for w in left + right if len(w) > 2 and not w.isdigit()})), number))
-        asked += sorted(seen)
-        out += [(e, 0, 0, 1) for e in {e for e, _, _ in seen}]
-    if asked:
-        h, of, _ = words([w for _, n, _ in asked for w in n])
-        one = dict(zip(of.tolist(), h.tolist(), strict=True))
-        at, told = 0, set()
-        for e, near, number in asked:
-            ids = sorted({one[at + i] for i in range(len(near))})
-            at += len(near)
-            context = zlib.crc32(np.array(ids, np.uint64).tobytes())
-            out += [(e, w, context, int((number, e, w) not in told)) for w in ids]
-            told.update((number, e, w) for w in ids)
-    return out
+        if spans:
+            part, done = [], 0
+            for a, _, b in spans:
+                part.append(t[done : max(a, done)])
+                done = max(b, done)
+            entities = {_entity(k, t[a:b]) for a, k, b in spans} | {-1 - k for _, k, _ in spans}
+            yield number, sorted(entities), np.unique(words([" ".join([*part, t[done:]])])[0])
 
 
 def _long(x: np.ndarray | list) -> pa.Array:
     return pa.array(np.asarray(x, np.uint64).view(np.int64))
 
 
-def contexts(docs: DataFrame, window: int, text_col: str = "text") -> DataFrame:
+def mentions(docs: DataFrame) -> DataFrame:
+    """(key, entities, terms) of the rows of (key, text) that mention an entity."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 4 << 20):
-                rows = _context_rows(strings(b, "text"), window)
-                e, w, c, n = zip(*rows, strict=True) if rows else ((), (), (), ())
-                yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), _long(list(w)), pa.array(c, pa.int64()), pa.array(n, pa.int64())], ["entity", "term", "context", "n"])
+                rows = list(_mentions(strings(b, "text")))
+                key = numbers(b, "key").take(pa.array([n for n, _, _ in rows], pa.int64()))
+                terms = [w.view(np.int64) for _, _, w in rows]
+                yield pa.RecordBatch.from_arrays([key, pa.array([e for _, e, _ in rows], pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.int64()))], ["key", "entities", "terms"])
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "entity long, term long, context long, n long")
+    return docs.mapInArrow(run, "key long, entities array<long>, terms array<long>")
 
 
 BITS = 22
@@ -139,35 +130,79 @@ def _hits(texts: list[str], marks: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return h[ok], doc[ok], at[ok]
 
 
-def document_counts(docs: DataFrame, terms: DataFrame, text_col: str = "text") -> DataFrame:
-    """(term, in how many documents it stands) for the given terms."""
-    marks = bitmap(terms, F.col("term"), BITS)
+def document_counts(docs: DataFrame, terms: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(term, in how many distinct texts it stands) for the given terms, from (key, text). Texts whose key is among
+    ``repeated`` are counted by key; the others add up where they stand."""
+    marks, often = bitmap(terms, F.col("term"), BITS), bitmap(repeated, F.col("key"), _KEY_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 4 << 20):
+                key = np.array(numbers(b, "key").to_pylist(), np.int64)
                 h, doc, _ = _hits(strings(b, "text"), marks)
-                pair = np.unique(np.stack([h, doc.astype(np.uint64)]), axis=1) if len(h) else np.zeros((2, 0), np.uint64)
-                term, n = np.unique(pair[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([_long(term), pa.array(n.astype(np.int64))], ["term", "n"])
-
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "term long, n long")
-    return found.groupBy("term").agg(F.sum("n").alias("n_term"))
-
-
-def disclosing_terms(docs: DataFrame, window: int = 6, support: int = 3, generalise_at: float = 0.8, text_col: str = "text") -> DataFrame:
-    """(term, disclosure) of the words that reach the threshold for some entity."""
-    seen = contexts(docs, window, text_col).groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
-    pairs = keep(seen.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_contexts")))
-    total = docs.count()
-    entities = pairs.filter("term = 0").select("entity", F.col("n_both").alias("n_entity"))
-    candidates = pairs.filter((F.col("term") != 0) & (F.col("n_contexts") >= support))
-    counts = document_counts(docs, candidates, text_col)
-    n = F.lit(float(max(2, total)))
-    information = F.log(n / F.col("n_entity"))
-    mutual = F.log(F.col("n_both") * n / (F.col("n_term") * F.col("n_entity")))
-    scored = candidates.join(counts, "term").join(entities, "entity").filter(F.col("n_entity") < n).withColumn("disclosure", mutual / information)
-    return scored.filter(F.col("disclosure") >= generalise_at).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+                own = np.where(marked(often, key.view(np.uint64) >> np.uint64(64 - _KEY_BITS)), key, 0)
+                order = np.lexsort((doc, h))
+                h, doc = h[order], doc[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+                h, of = h[new], own[doc[new]]
+                order = np.lexsort((of, h))
+                h, of = h[order], of[order]
+                first = np.ones(len(h), bool)
+                first[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+                at = np.flatnonzero(first)
+                n = np.diff(np.append(at, len(h)))
+                yield pa.RecordBatch.from_arrays([_long(h[at]), pa.array(of[at]), pa.array(n.astype(np.int64))], ["term", "key", "n"])
+
+    found = docs.mapInArrow(run, "term long, key long, n long").groupBy("term", "key").agg(F.sum("n").alias("n"))
+    return found.groupBy("term").agg(F.sum(F.when(F.col("key") == 0, F.col("n")).otherwise(1)).alias("n_term"))
+
+
+_KEY_BITS = 24
+#: One-sided 95 % of the normal distribution.
+_Z = 1.645
+
+
+def _at_least(hits: Column, trials: Column) -> Column:
+    """Wilson's lower bound of a share."""
+    z2, p = _Z * _Z, hits / trials
+    return (p + z2 / (2 * trials) - _Z * F.sqrt(p * (1 - p) / trials + z2 / (4 * trials * trials))) / (1 + z2 / trials)
+
+
+def _disclosures(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(class, entity), and (class, term, disclosure, sure). Entities that the same texts mention are one class."""
+    text = F.coalesce(text_col, F.lit(""))
+    keyed = docs.select(F.xxhash64(text).alias("key"), text.alias("text"))
+    keys = keep(keyed.groupBy("key").agg(F.count("*").alias("copies")))
+    n = F.lit(float(max(2, keys.count())))
+    told = keep(mentions(keyed).groupBy("key").agg(F.first("entities").alias("entities"), F.first("terms").alias("terms")))
+    by_entity = told.select("key", F.explode("entities").alias("entity"))
+    print_ = F.xxhash64(F.count("*"), F.bit_xor(F.xxhash64("key")), F.bit_xor(F.xxhash64("key", F.lit(1))))
+    entities = keep(by_entity.groupBy("entity").agg(print_.alias("class"), F.count("*").alias("n_entity")))
+    held = entities.groupBy("class").agg(F.min("entity").alias("entity"), F.first("n_entity").alias("n_entity"))
+    place = keep(by_entity.join(held, "entity").select("class", "key", "n_entity"))
+    terms = told.select("key", F.explode("terms").alias("term"))
+    both = place.join(terms, "key").groupBy("class", "term").agg(F.count("*").alias("n_both"), F.first("n_entity").alias("n_entity"))
+    counts = document_counts(keyed, terms.select("term").distinct(), keys.filter("copies > 1"))
+    share = lambda p: F.log(p * n / F.col("n_entity")) / F.log(n / F.col("n_entity"))
+    scored = both.join(counts, "term").filter(F.col("n_entity") < n)
+    scored = scored.select("class", "term", share(F.col("n_both") / F.col("n_term")).alias("disclosure"), share(_at_least(F.col("n_both"), F.col("n_term"))).alias("sure"))
+    return entities.select("class", "entity"), scored
+
+
+def disclosing_terms(docs: DataFrame, generalise_at: float = 0.8, text_col: str = "text") -> DataFrame:
+    """(term, disclosure) of the words that surely reach the threshold for some entity."""
+    _, scored = _disclosures(docs, text_col)
+    return scored.filter(F.col("sure") >= generalise_at).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+
+
+def reach(docs: DataFrame, generalise_at: float = 0.8, text_col: str = "text") -> DataFrame:
+    """One row (entities, reached, terms): different values in the texts, how many of them some word discloses, and how
+    many words disclose any value or kind."""
+    entities, scored = _disclosures(docs, text_col)
+    told = keep(scored.filter(F.col("sure") >= generalise_at).select("class", "term"))
+    values = entities.filter("entity >= 0").join(told.select("class").distinct().withColumn("hit", F.lit(1)), "class", "left")
+    return values.agg(F.count("*").alias("entities"), F.count("hit").alias("reached")).crossJoin(told.agg(F.count_distinct("term").alias("terms")))
 
 
 #: Words that a task may hold in memory (16 bytes each); more are joined instead.

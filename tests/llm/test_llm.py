@@ -109,6 +109,19 @@ def test_pii_joined_path(spark, monkeypatch):
     assert sorted(map(tuple, pii.find(df).collect())) == one
 
 
+def test_pii_reaches_words_far_from_rare_values(spark):
+    filler = [f"plain words about topic {i % 7} and thing {i % 11} number {i}" for i in range(1500)]
+    far = "Wolkowska " + " ".join(["plain words about topic 3 and thing 4"] * 20) + " reach me at rare@corp.example"
+    df = docs(spark, [far, far, *filler])
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert "Wolkowska" not in out[0] and "plain words about topic" in out[0] and out[0] == out[1]
+    assert all(out[2 + i] == t for i, t in enumerate(filler))
+    assert tuple(pii.reach(df).first())[:2] == (1, 1)
+    # a word of one text with the value is not disclosing by its copies when other texts hold it as often
+    again = [far, far, far, *filler, *[f"Wolkowska stands here too {i}" for i in range(4)]]
+    assert "Wolkowska" in pii.sanitise(docs(spark, again)).filter("doc_id = 0").first()["text"]
+
+
 # 2 near-duplicates
 
 
