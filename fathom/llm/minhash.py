@@ -128,7 +128,7 @@ def _packs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     place = slot(F.xxhash64("doc_id", "cid"), _BITS).alias("slot")
     found = docs.select("doc_id", "cid", "text", place).mapInArrow(run, "doc_id long, cid long, pack binary")
-    own = found.join(wanted, (found["cid"] == wanted["cid"]) & (found["doc_id"] == wanted["least"]), "left_semi")
+    own = found.join(wanted, (found["cid"] == wanted["cid"]) & found["doc_id"].eqNullSafe(wanted["least"]), "left_semi")
     return own.select("cid", "pack").dropDuplicates(["cid"])
 
 
@@ -221,17 +221,15 @@ def _missing_links(members: DataFrame, grouped: DataFrame, packs: DataFrame, sim
     return m.groupBy("key", "block").cogroup(q.groupBy("key", "block")).applyInPandas(join, "a long, b long")
 
 
-def classes(docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, component_id, kept for each row.
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(text_col, F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("cid"), text.alias("text"))
 
-    Rows of equal text form a class (class_id: its smallest doc_id); classes of similarity ``similar`` or more are
-    linked; component_id is the smallest doc_id reachable by links, and kept marks that row. Null texts count as
-    empty; texts without a word form classes but link with nothing else. An empty table gives no rows; other columns
-    are not read. Of repeated rows that hold the component's smallest id, each is marked kept.
-    """
+
+def _grouped(rows: DataFrame, similar: float) -> DataFrame:
+    """(cid, least, component_id, chosen) of each class; chosen is the cid of the component's representative, which has
+    the smallest (id, cid), ids that are null last."""
     registers = ROWS * BANDS
-    text = F.coalesce(text_col, F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("cid"), text.alias("text"))
     sketched = _sketch(rows, registers)
     grouped = keep(sketched.groupBy("cid").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig")))
     part = lambda i: F.substring("sig", i * (ROWS * 4) + 1, ROWS * 4)
@@ -252,14 +250,35 @@ def classes(docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id", t
     final = keep(components(links))
     told = grouped.select("cid", "least").join(final, grouped["cid"] == final["node"], "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))
     told = keep(told)
-    first = keep(told.groupBy("root").agg(F.min("least").alias("component_id")))
-    whole = keep(told.join(first, "root").select("cid", F.col("least").alias("class_id"), "component_id"))
-    out = rows.select("doc_id", "cid").join(whole, "cid")
-    return out.select("doc_id", "class_id", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    first = told.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "cid")).alias("first"))
+    first = keep(first.select("root", F.col("first.least").alias("component_id"), F.col("first.cid").alias("chosen")))
+    return keep(told.join(first, "root").select("cid", "least", "component_id", "chosen"))
+
+
+def classes(docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id, component_id, kept for each row.
+
+    Rows of equal text form a class (class_id: its smallest doc_id); classes of similarity ``similar`` or more are
+    linked; component_id is the smallest doc_id reachable by links, and kept marks that row. Null texts count as
+    empty; texts without a word form classes but link with nothing else. An empty table gives no rows; other columns
+    are not read. Null ids come after all others: class_id and component_id are null where no row has an id. If texts
+    share the component's smallest id, the one of smallest hash is kept; rows of equal id and text are marked alike.
+    """
+    rows = _rows(docs, id_col, text_col)
+    out = rows.select("doc_id", "cid").join(_grouped(rows, similar), "cid")
+    kept = (F.col("cid") == F.col("chosen")) & F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return out.select("doc_id", F.col("least").alias("class_id"), "component_id", kept.alias("kept"))
 
 
 def deduplicate(docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one of smallest id (of equal ids, the smallest text)."""
-    told = classes(docs, similar, id_col=id_col, text_col=text_col).filter("kept").select("doc_id").distinct()
-    named = told.withColumnRenamed("doc_id", "_kept_id")
-    return docs.join(named, docs[id_col].cast("long") == named["_kept_id"], "left_semi")
+    """``docs`` with exactly one row of each component: the one of smallest id (null ids last), of equal ids the text of
+    smallest hash, of rows equal in both any one."""
+    rows = _rows(docs, id_col, text_col)
+    chosen = _grouped(rows, similar).filter("cid = chosen").select("cid", "least")
+    named = rows.select("doc_id", "cid").join(chosen, "cid").filter(F.col("doc_id").eqNullSafe(F.col("least")))
+    named = keep(named.groupBy("cid", F.col("doc_id").alias("id")).agg(F.count("*").alias("copies")))
+    own_id, own_cid = docs[id_col].cast("long"), F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    held = lambda n: docs.join(n, (own_cid == n["cid"]) & own_id.eqNullSafe(n["id"]), "left_semi")
+    # only rows equal in id and text have to meet
+    several = held(named.filter("copies > 1")).withColumn("_cid", F.xxhash64(F.coalesce(text_col, F.lit("")))).withColumn("_id", F.col(id_col).cast("long"))
+    return held(named.filter("copies = 1")).unionByName(several.dropDuplicates(["_cid", "_id"]).drop("_cid", "_id"))

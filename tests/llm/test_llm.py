@@ -169,6 +169,21 @@ def test_near_duplicates_against_brute_force(spark):
     assert minhash.classes(docs(spark, []).limit(0)).count() == 0
 
 
+def test_deduplicate_with_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(13)
+    one, two, three, four = (text(rng, 120) for _ in range(4))
+    near = lambda t: " ".join([*t.split()[:-1], "edited"])
+    rows = [(None, one), (None, near(one)), (None, two), (7, two), (5, three), (5, three), (5, near(three)), (8, near(three)), (5, four), (None, None), (None, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1, "t", "b", 1, 2, 3) for i, t in rows], DOCS)
+    got = sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_copies(spark, df, "").collect()), key=str)
+    group = lambda t: next((k for k, x in enumerate((one, two, three, four)) if t in (x, near(x))), -1)
+    assert sorted((group(t), i) for i, t in got if t) == [(0, None), (1, 7), (2, 5), (3, 5)]
+    assert [i for i, t in got if not t] == [None] and len(got) == 5
+    assert all(r["kept"] is not None for r in minhash.classes(df).collect())
+
+
 # 3 quality
 
 
