@@ -4,8 +4,15 @@ The kernel of two tokens sums, over the letter subsequences of length 3 and 4 th
 ``DECAY`` to the power of the letters spanned in each, and is normalised; so an insult with inserted or left-out
 letters stays close to the plain one. Landmarks are tokens that labelled toxic sentences hold far more often than
 others. Tokens near a landmark are the instances: the Nyström map turns their kernel values into coordinates for a
-linear machine with squared hinge loss, which learns from how many toxic and other texts hold each. A text is judged by
-its largest margin and by how many tokens lie on the toxic side, calibrated to a probability by logistic regression.
+linear machine with squared hinge loss, which learns from how many toxic and other texts hold each.
+
+Disguises that leave no token near are looked for in short windows of the text's letters, whatever stands between them:
+a landmark's letters in order, with one more letter at most after each. Such a window has one of ``FORMS`` forms (a part
+of a longer token, over white space, with letters inserted). Chance makes some forms of some landmarks common in harmless
+texts; a form counts like its landmark only where the labelled texts do not show that (see ``admitted``).
+
+A text is judged by its largest margin and by how many tokens and windows lie on the toxic side, calibrated to a
+probability by logistic regression.
 """
 
 from __future__ import annotations
@@ -146,6 +153,110 @@ class Landmarks:
 
 
 FEATURES = 3
+#: Whole tokens or parts, without or with inserted letters, in one token, over several, or over tokens of one letter each.
+FORMS = 12
+_OTHER = 0x250
+
+
+def _stream(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letter codes of all texts in a row, whose they are, and the number of the token; of a run of one letter two stay."""
+    cp = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
+    low = np.zeros(_OTHER + 1, np.uint8)
+    for k, v in _PLAIN.items():
+        low[k] = 0 if v is None else v - 96 if 97 <= v <= 122 else 28 + v % 4
+    low[[k for k in range(_OTHER) if chr(k).isspace()]] = 255
+    code = low[np.minimum(cp, _OTHER)]
+    high = np.flatnonzero(cp >= _OTHER)
+    if len(high):
+        kind, back = np.unique(cp[high], return_inverse=True)
+        code[high] = np.array([28 + int(k) % 4 if chr(k).isalpha() else 255 if chr(k).isspace() else 0 for k in kind], np.uint8)[back]
+    token = np.cumsum(code == 255)
+    letter = np.flatnonzero((code > 0) & (code < 255))
+    code, owner, token = code[letter], owner[letter], token[letter]
+    run = np.zeros(len(code), bool)
+    run[2:] = (code[2:] == code[1:-1]) & (code[2:] == code[:-2]) & (token[2:] == token[:-2])
+    code, owner, token = code[~run], owner[~run], token[~run]
+    return code.astype(np.int32), owner, np.cumsum(np.diff(token, prepend=token[:1]) != 0)
+
+
+class Windows:
+    """Finds landmarks in letter streams: their letters in order, with one letter more at most after each."""
+
+    def __init__(self, names: list[str]) -> None:
+        self.size = np.array([len(n) for n in names], np.int64)
+        child, end = [[-1] * 32], [[]]
+        for i, n in enumerate(names):
+            at = 0
+            for c in _stream([n])[0].tolist():
+                if child[at][c] < 0:
+                    child[at][c] = len(child)
+                    child.append([-1] * 32)
+                    end.append([])
+                at = child[at][c]
+            if at:
+                end[at].append(i)
+        self.child = np.array(child, np.int32)
+        width = max(map(len, end))
+        self.end = np.array([e + [-1] * (width - len(e)) for e in end], np.int64).reshape(len(end), width)
+        pair = np.full((32, 32), -1, np.int32)
+        for c in range(32):
+            if child[0][c] >= 0:
+                pair[c] = self.child[child[0][c]]
+        self.pair = pair.ravel()
+
+    def find(self, texts: list[str], allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, landmark, form) of the windows, each once, of the ``allowed`` forms of each landmark if given; tokens
+        that are the landmark itself are left out."""
+        c, owner, token = _stream(texts)
+        n = len(c)
+        out: list[np.ndarray] = []
+        start, at, node, more = [], [], [], []
+        for g in (1, 2):
+            if n > g:
+                to = self.pair[c[:-g] * 32 + c[g:]]
+                ok = np.flatnonzero(to >= 0)
+                ok = ok[owner[ok] == owner[ok + g]]
+                start.append(ok), at.append(ok + g), node.append(to[ok]), more.append(np.full(len(ok), g > 1))
+        first = np.diff(token, prepend=-1) != 0
+        last = np.diff(token, append=-1) != 0
+        while start:
+            x, y, k, m = (np.concatenate(v) for v in (start, at, node, more))
+            for e in self.end.T:
+                hit = np.flatnonzero(e[k] >= 0)
+                if len(hit):
+                    a, b, i = x[hit], y[hit], m[hit]
+                    beyond = np.minimum(b + 1, n - 1)
+                    ends = last[b] | ((owner[beyond] == owner[b]) & last[beyond])
+                    i = i | (first[a] & ends & ~last[b])
+                    tokens_ = token[b] - token[a]
+                    over = np.where(tokens_ == 0, 0, np.where(tokens_ == b - a, 2, 1))
+                    form = ((first[a] & ends) * 2 + i) * 3 + over
+                    ok = (form != 6) if allowed is None else (form != 6) & allowed[e[k[hit]], form]
+                    out.append((owner[a[ok]] * len(self.size) + e[k[hit[ok]]]) * FORMS + form[ok])
+            start, at, node, more = [], [], [], []
+            for g in (1, 2):
+                ok = np.flatnonzero(y + g < n)
+                ok = ok[owner[x[ok]] == owner[y[ok] + g]]
+                to = self.child[k[ok], c[y[ok] + g]]
+                go = to >= 0
+                if go.any():
+                    ok = ok[go]
+                    start.append(x[ok]), at.append(y[ok] + g), node.append(to[go]), more.append(m[ok] | (g > 1))
+        if not out:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        key = np.unique(np.concatenate(out))
+        return key // FORMS // len(self.size), key // FORMS % len(self.size), key % FORMS
+
+
+def admitted(bad: np.ndarray, good: np.ndarray, size: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """Whether a form (column) of a landmark (row) counts, from how many toxic and other texts hold it: where landmarks
+    of that length seldom have the form in other texts, and this one in none or far more often in toxic ones."""
+    rare = np.zeros(good.shape, bool)
+    for s in np.unique(size):
+        rare[size == s] = good[size == s].mean(0) < 0.1
+    often = (bad >= 3) & (bad / max(1, n1) >= 20 * (good + 1) / max(1, n0))
+    return rare & (good == 0) | often
 
 
 @dataclass
@@ -154,10 +265,24 @@ class Machine:
     weight: np.ndarray  # over kernel values: the machine's weights through the Nyström map
     bias: float
     logit: np.ndarray  # over the features of a text, the constant last
+    forms: np.ndarray = field(default_factory=lambda: np.zeros((0, FORMS), bool))  # by landmark, those that count
     known: dict[str, float] = field(default_factory=dict)
+    finder: tuple[Windows, np.ndarray] | None = None
 
     def __reduce__(self):  # what is known of tokens stays with its worker
-        return Machine, (self.landmarks, self.weight, self.bias, self.logit)
+        return Machine, (self.landmarks, self.weight, self.bias, self.logit, self.forms)
+
+    def windows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, landmark, form) of the windows of landmarks on the toxic side; once forms are told, of those that count."""
+        names = self.landmarks.names
+        if not names or not len(self.weight):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if self.finder is None:
+            self.own = self.margins(names)
+            toxic = np.flatnonzero((self.own > 0) & (self.forms.any(1) if len(self.forms) else True))
+            self.finder = Windows([names[i] for i in toxic]), toxic
+        t, i, f = self.finder[0].find(texts, self.forms[self.finder[1]] if len(self.forms) else None)
+        return t, self.finder[1][i] if len(i) else i, f
 
     def margins(self, plains: list[str]) -> np.ndarray:
         """The machine's margin of each string; -1 where no landmark is near."""
@@ -165,7 +290,8 @@ class Machine:
         return np.where(k.max(1, initial=0) >= NEAR, np.where(k >= NEAR, k, 0) @ self.weight + self.bias, -1.0)
 
     def features(self, texts: list[str]) -> np.ndarray:
-        """Largest margin, and logarithms of how many different tokens have a margin over 0 and over 0.5."""
+        """Largest margin, and logarithms of how many different tokens and disguised landmarks have a margin over 0 and
+        over 0.5."""
         sets = [tokens(t) for t in texts]
         if len(self.known) > 1_000_000:
             self.known.clear()
@@ -177,8 +303,13 @@ class Machine:
             self.known.update(zip(new[a : a + 50_000], map(margin.__getitem__, letters), strict=True))
         out = np.zeros((len(texts), FEATURES))
         get = self.known.__getitem__
+        disguised: dict[int, set[int]] = {}
+        if self.forms.any():
+            t, i, _ = self.windows(texts)
+            for a, b in zip(t.tolist(), i.tolist(), strict=True):
+                disguised.setdefault(a, set()).add(b)
         for i, s in enumerate(sets):
-            found = [m for m in map(get, s) if m > -1.0]
+            found = [m for m in map(get, s) if m > -1.0] + [float(self.own[k]) for k in sorted(disguised.get(i, ()))]
             top = max(found, default=-1.0)
             out[i] = max(-1.0, min(top, 2.0)), np.log1p(sum(m > 0 for m in found)), np.log1p(sum(m > 0.5 for m in found))
         return out
@@ -283,6 +414,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int
 
         close = seen.mapInArrow(near, seen.schema).orderBy(F.desc(F.col("bad") + F.col("good")), "token").limit(most_tokens).collect()
         machine.weight, machine.bias = fit_tokens(landmarks, [r["token"] for r in close], np.array([r["bad"] for r in close], float), np.array([r["good"] for r in close], float))
+
+        def disguises(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for b in slices(whole, "text", 4 << 20):
+                    y = np.array(numbers(b, "y").to_pylist(), np.int64) > 0
+                    t, i, f = machine.windows(strings(b, "text"))
+                    key, at = np.unique(i * FORMS + f, return_inverse=True)
+                    one = [np.bincount(at, y[t] == v, len(key)).astype(np.int64) for v in (True, False)]
+                    yield pa.RecordBatch.from_arrays([pa.array(key), *map(pa.array, one)], ["key", "bad", "good"])
+
+        held = np.zeros((2, len(landmarks.names) * FORMS))
+        for r in sample.mapInArrow(disguises, "key long, bad long, good long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).collect():
+            held[:, r["key"]] = r["bad"], r["good"]
+        size = np.array([len(n) for n in landmarks.names])
+        machine.forms = admitted(*held.reshape(2, -1, FORMS), size, n1, n0)
     else:
         machine.weight = np.zeros(0)
 
@@ -304,7 +450,7 @@ def _kept(model: Machine) -> Machine:
     """The Python worker's copy of a machine, so that what it knows of tokens outlives a task."""
     import hashlib
 
-    name = hashlib.md5(repr(model.landmarks.names).encode() + model.weight.tobytes() + model.logit.tobytes()).hexdigest()
+    name = hashlib.md5(repr(model.landmarks.names).encode() + model.weight.tobytes() + model.logit.tobytes() + model.forms.tobytes()).hexdigest()
     if name not in _MACHINES:
         _MACHINES.clear()
         _MACHINES[name] = model

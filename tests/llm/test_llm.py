@@ -414,6 +414,33 @@ def test_kernel_is_tolerant():
     assert "idiot" in toxicity.tokens("you i d i o t there") and toxicity.plain("I.d-Ió't!") == "idiot"
 
 
+def test_windows_find_disguised_landmarks():
+    w = toxicity.Windows(["idiot", "stupid"])
+    shown = ["xx ixdxixoxt", "sxtxuxpxixd", "theidiotwaswalking", "youstupididiot", "a stu pid b", "i d i o t", "i. d. i. o. t", "iiddiioott", "IIIIdiooooot", "íd-\n1 iot", "z" * 90 + "idiot" + "z" * 90]
+    t, i, f = w.find([*shown, "table", "", "idiot", "toidi", "ixxdiot"])
+    assert set(t.tolist()) == set(range(len(shown))) and set(i[t == 3].tolist()) == {0, 1} and (f < toxicity.FORMS).all()
+    # windows do not run over the end of a text
+    assert len(w.find(["idi", "ot"])[0]) == 0
+
+
+def test_disguised_insults_are_found(spark):
+    rng = random.Random(12)
+    bad = ("blorgface", "snarfwit", "grumpkin")
+    texts = []
+    for i in range(240):
+        w = text(rng, 40).split()
+        if i % 4 == 0:
+            for b in bad[: 1 + i % 3]:
+                w[rng.randrange(len(w))] = b
+        texts.append(" ".join(w))
+    hidden = ["you bxlxoxrxgxfxaxcxe", "bblloorrggffaaccee there", "thesnarfwitwaswalkingalong", "a blorg face", "g. r. u. m. p. k. i. n", "s n a r f w i t", "gr umpk in"]
+    df = docs(spark, [*texts, *hidden, "alpha beta", None])
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(240)], "doc_id long, quality int, toxic int")
+    out = {r["doc_id"]: r["predicted"] for r in toxicity.score(df, toxicity.train(df, labels)).collect()}
+    assert [out[240 + i] for i in range(len(hidden) + 2)] == [1] * len(hidden) + [0, 0]
+    assert sum(out[i] for i in range(240) if i % 4) == 0
+
+
 def test_toxicity_learns(spark):
     rng = random.Random(11)
     bad = ("blorgface", "snarfwit", "grumpkin")
