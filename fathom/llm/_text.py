@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +23,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Longer spans are hashed whole, one by one.
+_LONG = 64
+
+
 def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each symbols[start:end]; spans of equal content get equal values."""
     size = ends - starts
     out = size.astype(np.uint64)
-    live = np.flatnonzero(size > 0)
+    live = np.flatnonzero((size > 0) & (size <= _LONG))
+    for i in np.flatnonzero(size > _LONG).tolist():
+        out[i] = int.from_bytes(blake2b(symbols[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
     at, left = starts[live], size[live]
     with np.errstate(over="ignore"):
         while live.size:

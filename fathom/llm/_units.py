@@ -15,11 +15,11 @@ class UnitMemo:
     """Ids by unit in a direct-mapped table, which is emptied when it holds ``most`` units. Subclasses give ``split``
     (texts to units) and ``unit`` (ids of one unit)."""
 
-    SLOTS = 1 << 21
+    SLOTS = 1 << 19
     split: Callable[[list[str]], Split]
     unit: Callable[[str], list[int]]
 
-    def __init__(self, most: int = 2_000_000):
+    def __init__(self, most: int = 300_000):
         self.most = most
         self.clear()
 
@@ -51,7 +51,7 @@ class UnitMemo:
         if self.n > self.most:
             self.clear()
         h = span_hashes(cp, starts, ends) | np.uint64(1)  # never the 0 of an empty slot
-        slot = (h >> np.uint64(43)).astype(np.int64)
+        slot = (h >> np.uint64(64 - 19)).astype(np.int64)
         row = self.row[slot]
         miss = np.flatnonzero(self.key[slot] != h)
         if len(miss):

@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm._text import numbers, slices, strings, words
+from fathom.llm import _worker
+from fathom.llm._text import numbers, strings, words
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|textarea|iframe)\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
@@ -350,16 +351,15 @@ def extract(pages: DataFrame, model: Labeller, id_col: str = "page_id", url_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "html", 2 << 20):
-                found = [blocks(h) for h in strings(b, "html")]
-                sizes = [len(p) for p in found]
-                good = model.predict(vectors(found), sizes) >= 0.5
-                texts, at = [], 0
-                for p in found:
-                    texts.append("\n".join(t for (t, _, _), ok in zip(p, good[at : at + len(p)], strict=True) if ok))
-                    at += len(p)
-                yield pa.RecordBatch.from_arrays([numbers(b, "page_id"), numbers(b, "url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+        for b in _worker.parts(batches, "html"):
+            found = [blocks(h) for h in strings(b, "html")]
+            sizes = [len(p) for p in found]
+            good = model.predict(vectors(found), sizes) >= 0.5
+            texts, at = [], 0
+            for p in found:
+                texts.append("\n".join(t for (t, _, _), ok in zip(p, good[at : at + len(p)], strict=True) if ok))
+                at += len(p)
+            yield pa.RecordBatch.from_arrays([numbers(b, "page_id"), numbers(b, "url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     narrow = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
     return narrow.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathom.llm import _worker
 from fathom.llm._bitmap import bitmap, marked, slot
 from fathom.llm._components import components
 from fathom.llm._store import keep
-from fathom.llm._text import mix, numbers, shingles, slices, strings
+from fathom.llm._text import mix, numbers, shingles, strings
 
 ROWS, BANDS, WIDTH, SIMILAR = 6, 32, 5, 0.8
 _BITS = 24
@@ -100,14 +101,13 @@ def _unpack(b: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _sketch(docs: DataFrame, registers: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                texts = strings(b, "text")
-                doc, h, w = weighted(texts)
-                sig = sketches(doc, h, w, len(texts), registers)
-                has = np.bincount(doc, minlength=len(texts)) > 0
-                out = [s.tobytes() if ok else None for s, ok in zip(sig, has, strict=True)]
-                yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), numbers(b, "cid"), pa.array(out, pa.binary())], ["doc_id", "cid", "sig"])
+        for b in _worker.parts(batches, "text"):
+            texts = strings(b, "text")
+            doc, h, w = weighted(texts)
+            sig = sketches(doc, h, w, len(texts), registers)
+            has = np.bincount(doc, minlength=len(texts)) > 0
+            out = [s.tobytes() if ok else None for s, ok in zip(sig, has, strict=True)]
+            yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), numbers(b, "cid"), pa.array(out, pa.binary())], ["doc_id", "cid", "sig"])
 
     return docs.mapInArrow(run, "doc_id long, cid long, sig binary")
 
@@ -117,14 +117,13 @@ def _packs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     marks = bitmap(wanted, F.xxhash64("least", "cid"), _BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            whole = whole.filter(pa.array(marked(marks, np.array(numbers(whole, "slot").to_pylist(), np.int64))))
-            for b in slices(whole, "text", 4 << 20):
-                texts = strings(b, "text")
-                doc, h, w = weighted(texts)
-                edge = np.searchsorted(doc, np.arange(len(texts) + 1))
-                out = [_pack(h[x:y], w[x:y]) for x, y in zip(edge[:-1], edge[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), numbers(b, "cid"), pa.array(out, pa.binary())], ["doc_id", "cid", "pack"])
+        wanted_rows = (b.filter(pa.array(marked(marks, np.array(numbers(b, "slot").to_pylist(), np.int64)))) for b in batches)
+        for b in _worker.parts(wanted_rows, "text"):
+            texts = strings(b, "text")
+            doc, h, w = weighted(texts)
+            edge = np.searchsorted(doc, np.arange(len(texts) + 1))
+            out = [_pack(h[x:y], w[x:y]) for x, y in zip(edge[:-1], edge[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), numbers(b, "cid"), pa.array(out, pa.binary())], ["doc_id", "cid", "pack"])
 
     place = slot(F.xxhash64("doc_id", "cid"), _BITS).alias("slot")
     found = docs.select("doc_id", "cid", "text", place).mapInArrow(run, "doc_id long, cid long, pack binary")

@@ -9,6 +9,8 @@ rank among the pieces of its length, so the driver handles only histogram and pl
 
 from __future__ import annotations
 
+import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -19,8 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fathom.llm import _worker
 from fathom.llm._store import keep
-from fathom.llm._text import slices, strings
+from fathom.llm._text import strings
 from fathom.llm._units import UnitMemo
 
 _KIND: np.ndarray | None = None
@@ -87,48 +90,38 @@ def _byte_alphabet() -> dict[str, int]:
 class Encoder(UnitMemo):
     """Ids of many texts by a byte-level BPE file of the tokenizers library.
 
-    Single units are merged by tiktoken with the ranks of the same file where both libraries agree on
-    a probe (their ids are then equal, and it is four times as fast), else by the tokenizers library.
+    Where the file splits texts by the byte-level pattern (as ``pretokens`` does) and changes nothing before, the units
+    are encoded by the file's own merging model, each distinct one once; any other file encodes whole texts.
     """
 
-    PROBE = (" hello", "Größe", " übermäßig", "tion", " 12345", "\n\n", "###", " %%%", "中文", " loooooong", "xqzjkv", "'re", " \u200b", "naïveté")
-
-    def __init__(self, path: str, most: int = 2_000_000):
+    def __init__(self, path: str, most: int = 300_000):
         from tokenizers import Tokenizer
 
         super().__init__(most)
         self.split, self.tok = pretokens, Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.unit = lambda u: self.tok.encode(u, add_special_tokens=False).ids
-        try:
-            import tiktoken
-
-            byte = _byte_alphabet()
-            ranks = {bytes(byte[c] for c in t): i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t not in self.special}
-            core = tiktoken.Encoding("units", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
-            if all(core.encode_ordinary(u) == self.unit(u) for u in self.PROBE):
-                self.unit = core.encode_ordinary
-        except (ImportError, KeyError, ValueError):
-            pass
+        splitter = json.loads(self.tok.pre_tokenizer.__getstate__()) if self.tok.pre_tokenizer else {}
+        known = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.by_units = self.tok.normalizer is None and all(splitter.get(k) == v for k, v in known.items())
+        stand_in = {b: c for c, b in _byte_alphabet().items()}
+        self.signs = [stand_in[b] for b in range(256)]
+        self.ascii = {b: self.signs[b] for b in range(128)}
+
+    def unit(self, text: str) -> list[int]:  # type: ignore[override]
+        signs = text.translate(self.ascii) if text.isascii() else "".join([self.signs[b] for b in text.encode("utf-8", "replace")])
+        return [t.id for t in self.tok.model.tokenize(signs)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if any(s in t for s in self.special for t in texts):
+        if not self.by_units or any(s in t for s in self.special for t in texts):
             lists = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
             return np.array([i for x in lists for i in x], np.uint32), np.array([len(x) for x in lists], np.int64)
         return super().encode(texts)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One for each tokenizer file and Python worker."""
-    if path not in _ENCODERS:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return _worker.model(("encoder", path), lambda: Encoder(path))
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -136,25 +129,25 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The token pieces of each document: one, or for a longer document pieces of ``capacity`` tokens, the first of
-    them shorter where the length asks for it. A null text counts as empty: one piece with the end id alone."""
+    them shorter where the length asks for it. A null text counts as empty: one piece with the end id alone. Repeated
+    rows are cut each; an empty table gives no pieces; other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                ids, count = enc.encode(strings(b, "text"))
-                out: list[list] = [[], [], [], [], []]
-                at = 0
-                for doc, n in zip(b.column(0).to_pylist(), count.tolist(), strict=True):
-                    own = np.append(ids[at : at + n], np.uint32(end_id)).astype("<u4").tobytes()
-                    at += n
-                    n += 1
-                    cut = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
-                    for k, (x, y) in enumerate(zip(cut, cut[1:], strict=False)):
-                        for col, v in zip(out, (doc, k, x, y - x, zlib.crc32(own[4 * x : 4 * y])), strict=True):
-                            col.append(v)
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        for b in _worker.parts(batches, "text", models=True):
+            ids, count = enc.encode(strings(b, "text"))
+            out: list[list] = [[], [], [], [], []]
+            at = 0
+            for doc, n in zip(b.column(0).to_pylist(), count.tolist(), strict=True):
+                own = np.append(ids[at : at + n], np.uint32(end_id)).astype("<u4").tobytes()
+                at += n
+                n += 1
+                cut = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
+                for k, (x, y) in enumerate(zip(cut, cut[1:], strict=False)):
+                    for col, v in zip(out, (doc, k, x, y - x, zlib.crc32(own[4 * x : 4 * y])), strict=True):
+                        col.append(v)
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
@@ -269,15 +262,21 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
     Sequences are filled from offset 0 without gaps and hold at most ``capacity`` tokens. Null texts count as empty;
     rows that repeat are packed each; an empty table gives no rows; other columns are not read.
     """
-    return place(keep(pieces(docs, tokenizer, capacity, end_id, id_col, text_col)), capacity)
+    return place(pieces(docs, tokenizer, capacity, end_id, id_col, text_col), capacity)
 
 
 def place(cut: DataFrame, capacity: int) -> DataFrame:
-    """Adds sequence_id and offset to stored pieces (columns of PIECES)."""
+    """Adds sequence_id and offset to pieces (columns of PIECES), which are stored first.
+
+    Rows that repeat get places of their own: a stored number deals them over the groups too. Lengths outside 1 to
+    ``capacity`` and nulls are an error. An empty table gives no rows. Groups hold some 50,000 pieces each; their number
+    stops at 2**20, so beyond 5e10 pieces they grow.
+    """
+    cut = keep(cut.withColumn("deal", F.xxhash64("doc_id", "piece", F.monotonically_increasing_id())))
     histogram = {int(r["length"]): r["count"] for r in cut.groupBy("length").count().collect()}
     runs, _ = plan(histogram, capacity)
     parts = int(min(1 << 20, max(64, sum(histogram.values()) // 50_000)))
-    dealt = cut.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int"))
+    dealt = cut.withColumn("part", F.pmod("deal", F.lit(parts)).cast("int")).drop("deal")
     counts = dealt.groupBy("part", "length").count()
     base = F.sum("count").over(Window.partitionBy("length").orderBy("part")) - F.col("count")
     bases = counts.select("part", "length", base.cast("long").alias("base"))

@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathom.llm import _worker
 from fathom.llm._bitmap import bitmap, marked
 from fathom.llm._store import keep
-from fathom.llm._text import join, numbers, slices, strings, words
+from fathom.llm._text import join, numbers, strings, words
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -111,12 +112,11 @@ def mentions(docs: DataFrame) -> DataFrame:
     """(key, entities, terms) of the rows of (key, text) that mention an entity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                rows = list(_mentions(strings(b, "text")))
-                key = numbers(b, "key").take(pa.array([n for n, _, _ in rows], pa.int64()))
-                terms = [w.view(np.int64) for _, _, w in rows]
-                yield pa.RecordBatch.from_arrays([key, pa.array([e for _, e, _ in rows], pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.int64()))], ["key", "entities", "terms"])
+        for b in _worker.parts(batches, "text"):
+            rows = list(_mentions(strings(b, "text")))
+            key = numbers(b, "key").take(pa.array([n for n, _, _ in rows], pa.int64()))
+            terms = [w.view(np.int64) for _, _, w in rows]
+            yield pa.RecordBatch.from_arrays([key, pa.array([e for _, e, _ in rows], pa.list_(pa.int64())), pa.array(terms, pa.list_(pa.int64()))], ["key", "entities", "terms"])
 
     return docs.mapInArrow(run, "key long, entities array<long>, terms array<long>")
 
@@ -136,23 +136,22 @@ def document_counts(docs: DataFrame, terms: DataFrame, repeated: DataFrame) -> D
     marks, often = bitmap(terms, F.col("term"), BITS), bitmap(repeated, F.col("key"), _KEY_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                key = np.array(numbers(b, "key").to_pylist(), np.int64)
-                h, doc, _ = _hits(strings(b, "text"), marks)
-                own = np.where(marked(often, key.view(np.uint64) >> np.uint64(64 - _KEY_BITS)), key, 0)
-                order = np.lexsort((doc, h))
-                h, doc = h[order], doc[order]
-                new = np.ones(len(h), bool)
-                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-                h, of = h[new], own[doc[new]]
-                order = np.lexsort((of, h))
-                h, of = h[order], of[order]
-                first = np.ones(len(h), bool)
-                first[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-                at = np.flatnonzero(first)
-                n = np.diff(np.append(at, len(h)))
-                yield pa.RecordBatch.from_arrays([_long(h[at]), pa.array(of[at]), pa.array(n.astype(np.int64))], ["term", "key", "n"])
+        for b in _worker.parts(batches, "text"):
+            key = np.array(numbers(b, "key").to_pylist(), np.int64)
+            h, doc, _ = _hits(strings(b, "text"), marks)
+            own = np.where(marked(often, key.view(np.uint64) >> np.uint64(64 - _KEY_BITS)), key, 0)
+            order = np.lexsort((doc, h))
+            h, doc = h[order], doc[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+            h, of = h[new], own[doc[new]]
+            order = np.lexsort((of, h))
+            h, of = h[order], of[order]
+            first = np.ones(len(h), bool)
+            first[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
+            at = np.flatnonzero(first)
+            n = np.diff(np.append(at, len(h)))
+            yield pa.RecordBatch.from_arrays([_long(h[at]), pa.array(of[at]), pa.array(n.astype(np.int64))], ["term", "key", "n"])
 
     found = docs.mapInArrow(run, "term long, key long, n long").groupBy("term", "key").agg(F.sum("n").alias("n"))
     return found.groupBy("term").agg(F.sum(F.when(F.col("key") == 0, F.col("n")).otherwise(1)).alias("n_term"))
@@ -253,22 +252,20 @@ def _with_spans(docs: DataFrame, terms: DataFrame, schema: str, make: Callable[[
         known, level = np.array([t for t, _ in got], np.uint64), np.array([d for _, d in got], float)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for b in slices(whole, text_col, 4 << 20):
-                    texts = strings(b, text_col)
-                    yield make(b, texts, [base_spans(t) for t in texts], _term_spans(texts, known), np.stack([known.view(np.float64), level]))
+            for b in _worker.parts(batches, text_col):
+                texts = strings(b, text_col)
+                yield make(b, texts, [base_spans(t) for t in texts], _term_spans(texts, known), np.stack([known.view(np.float64), level]))
 
         return docs.mapInArrow(run, schema)
     # too many words for a task's memory: only the words of a text that are among them travel with it
     marks = bitmap(terms, F.col("term"), BITS)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                h, doc, _ = _hits(strings(b, "text"), marks)
-                key = np.array(numbers(b, "key").to_pylist(), np.int64)
-                pair = np.unique(np.stack([h, key[doc].view(np.uint64)]), axis=1) if len(h) else np.zeros((2, 0), np.uint64)
-                yield pa.RecordBatch.from_arrays([_long(pair[0]), _long(pair[1])], ["term", "key"])
+        for b in _worker.parts(batches, "text"):
+            h, doc, _ = _hits(strings(b, "text"), marks)
+            key = np.array(numbers(b, "key").to_pylist(), np.int64)
+            pair = np.unique(np.stack([h, key[doc].view(np.uint64)]), axis=1) if len(h) else np.zeros((2, 0), np.uint64)
+            yield pa.RecordBatch.from_arrays([_long(pair[0]), _long(pair[1])], ["term", "key"])
 
     keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(text_col, F.lit(""))))
     hits = keyed.select(F.col("_key").alias("key"), F.col(text_col).alias("text")).mapInArrow(find, "term long, key long").distinct()
@@ -276,16 +273,15 @@ def _with_spans(docs: DataFrame, terms: DataFrame, schema: str, make: Callable[[
     joined = keyed.join(own, keyed["_key"] == own["key"], "left").drop("key", "_key")
 
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, text_col, 4 << 20):
-                texts, lists = strings(b, text_col), numbers(b, "_own").to_pylist()
-                spans, levels = [], {}
-                for t, own_terms in zip(texts, lists, strict=True):
-                    mine = {x["term"] & (1 << 64) - 1: x["disclosure"] for x in own_terms or []}
-                    levels |= mine
-                    spans += _term_spans([t], np.array(sorted(mine), np.uint64))
-                known = np.array(sorted(levels), np.uint64)
-                yield make(b, texts, [base_spans(t) for t in texts], spans, np.stack([known.view(np.float64), np.array([levels[int(k)] for k in known])]))
+        for b in _worker.parts(batches, text_col):
+            texts, lists = strings(b, text_col), numbers(b, "_own").to_pylist()
+            spans, levels = [], {}
+            for t, own_terms in zip(texts, lists, strict=True):
+                mine = {x["term"] & (1 << 64) - 1: x["disclosure"] for x in own_terms or []}
+                levels |= mine
+                spans += _term_spans([t], np.array(sorted(mine), np.uint64))
+            known = np.array(sorted(levels), np.uint64)
+            yield make(b, texts, [base_spans(t) for t in texts], spans, np.stack([known.view(np.float64), np.array([levels[int(k)] for k in known])]))
 
     return joined.mapInArrow(run_joined, schema)
 

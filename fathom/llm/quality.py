@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm._text import numbers, slices, strings, words
+from fathom.llm import _worker
+from fathom.llm._text import numbers, strings, words
 
 _CLASSES = ("upper", "lower", "digit", "space", "line", "stop", "pipe", "bang", "sign", "other", "beyond")
 _CLASS_OF = np.full(256, 9, np.uint8)
@@ -139,10 +140,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", divisor: i
     sample = labelled_sample(docs, labels, label, remainder(F.col("doc_id"), divisor) != held_out, most_rows, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                x = statistics(strings(b, "text"))
-                yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), pa.array(list(x), pa.list_(pa.float64())), numbers(b, "y")], ["doc_id", "x", "y"])
+        for b in _worker.parts(batches, "text"):
+            x = statistics(strings(b, "text"))
+            yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), pa.array(list(x), pa.list_(pa.float64())), numbers(b, "y")], ["doc_id", "x", "y"])
 
     rows = sorted((r["doc_id"], list(r["x"]), r["y"]) for r in sample.mapInArrow(run, "doc_id long, x array<double>, y int").collect())
     return fit(np.array([x for _, x, _ in rows], float).reshape(len(rows), len(STATISTICS)), np.array([y for _, _, y in rows], float))
@@ -159,9 +159,8 @@ def score(docs: DataFrame, model: Trees, divisor: int = 5, held_out: int = 0, th
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), pa.array(model.predict(statistics(strings(b, "text"))))], ["doc_id", "score"])
+        for b in _worker.parts(batches, "text"):
+            yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), pa.array(model.predict(statistics(strings(b, "text"))))], ["doc_id", "score"])
 
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCORED)
     return scored.select("doc_id", (remainder(F.col("doc_id"), divisor) == held_out).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
@@ -171,8 +170,7 @@ def filter_rows(docs: DataFrame, model: Trees, threshold: float = 0.3, text_col:
     """The rows of ``docs`` whose text reaches the threshold, with all their columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, text_col, 4 << 20):
-                yield b.filter(pa.array(model.predict(statistics(strings(b, text_col))) >= threshold))
+        for b in _worker.parts(batches, text_col):
+            yield b.filter(pa.array(model.predict(statistics(strings(b, text_col))) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

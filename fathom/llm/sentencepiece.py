@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm._text import numbers, slices, strings
+from fathom.llm import _worker
+from fathom.llm._text import numbers, strings
 from fathom.llm._units import Split, UnitMemo
 
 MARK = "▁"
@@ -57,7 +58,7 @@ def _fields(blob: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 class Transducer(UnitMemo):
-    def __init__(self, path: str, most: int = 2_000_000):
+    def __init__(self, path: str, most: int = 300_000):
         super().__init__(most)
         with open(path, "rb") as f:
             model = list(_fields(f.read()))
@@ -189,14 +190,9 @@ class Transducer(UnitMemo):
         return text[1:] if self.dummy and text.startswith(" ") else text
 
 
-_OF: dict[str, Transducer] = {}
-
-
 def transducer(path: str) -> Transducer:
     """One for each model file and Python worker."""
-    if path not in _OF:
-        _OF[path] = Transducer(path)
-    return _OF[path]
+    return _worker.model(("transducer", path), lambda: Transducer(path))
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,16 +205,15 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = transducer(model)
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                texts = strings(b, "text")
-                ids, count = fst.encode(texts)
-                edge = np.concatenate([[0], np.cumsum(count)])
-                flat = ids.astype("<u4")
-                crc = [zlib.crc32(flat[x:y].tobytes()) for x, y in zip(edge[:-1], edge[1:], strict=True)]
-                back = [fst.decode(ids[x:y].tolist()) == t for x, y, t in zip(edge[:-1], edge[1:], texts, strict=True)]
-                lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), lists, pa.array(count), pa.array(crc, pa.int64()), pa.array(back)], ["doc_id", "ids", "n_ids", "ids_crc32", "round_trip"])
+        for b in _worker.parts(batches, "text", models=True):
+            texts = strings(b, "text")
+            ids, count = fst.encode(texts)
+            edge = np.concatenate([[0], np.cumsum(count)])
+            flat = ids.astype("<u4")
+            crc = [zlib.crc32(flat[x:y].tobytes()) for x, y in zip(edge[:-1], edge[1:], strict=True)]
+            back = [fst.decode(ids[x:y].tolist()) == t for x, y, t in zip(edge[:-1], edge[1:], texts, strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), lists, pa.array(count), pa.array(crc, pa.int64()), pa.array(back)], ["doc_id", "ids", "n_ids", "ids_crc32", "round_trip"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(run, "doc_id long, ids array<int>, n_ids long, ids_crc32 long, round_trip boolean")

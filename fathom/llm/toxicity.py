@@ -17,9 +17,8 @@ probability by logistic regression.
 
 from __future__ import annotations
 
-import re
+import hashlib
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,152 +27,205 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm._text import numbers, slices, strings
+from fathom.llm import _worker
+from fathom.llm._text import numbers, span_hashes, strings
 from fathom.llm.quality import labelled_sample, remainder
 
 SPAN, DECAY, NEAR = 6, 0.6, 0.5
-_GAPS = [(a, b) for a in range(1, SPAN) for b in range(1, SPAN) if a + b < SPAN]
-_GAPS += [(a, b, c) for a in range(1, SPAN) for b in range(1, SPAN) for c in range(1, SPAN) if a + b + c < SPAN]
+#: Gaps between the letters of a subsequence, by how far they reach.
+_GAPS = {r: [(a, r - a) for a in range(1, r)] + [(a, b, r - a - b) for a in range(1, r) for b in range(1, r - a)] for r in range(2, SPAN)}
 _WIDTH = 1 << 20  # codes of four letters of five bits; three letters begin with 0
-_EDGE = "{"  # stands before and after each token, so that its first and last letters count more; code 27
+_EDGE = 27  # stands before and after each token, so that its first and last letters count more
+_UNIT = 32  # a longer token counts as overlapping windows of so many letters
+_BEYOND = 0x250
+_SPACE = 255
 
 
-def _letters() -> dict[int, int | None]:
-    """Letters without accents as 1 to 26; other letters share 27 to 31; all else is left out."""
-    out: dict[int, int | None] = {}
-    for c in range(0x250):
+def _letters() -> np.ndarray:
+    """Letters without accents as 1 to 26; other letters share 28 to 31; white space; 0 for all else."""
+    out = np.zeros(_BEYOND + 1, np.uint8)
+    for c in range(_BEYOND):
         plain = unicodedata.normalize("NFD", chr(c).lower())[0]
-        out[c] = ord(plain) if plain.isalpha() else None
+        if plain.isalpha():
+            out[c] = ord(plain) - 96 if "a" <= plain <= "z" else 28 + ord(plain) % 4
+        elif chr(c).isspace():
+            out[c] = _SPACE
     return out
 
 
-_PLAIN = _letters()
-_SPACED = re.compile(r"(?<!\S)\w(?:\s\w){3,}(?!\S)")
+_CODE = _letters()
+
+Stream = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]  # code, text, token of each letter; whether it stands alone
+
+
+def letters(texts: list[str]) -> Stream:
+    """The letters of all texts in a row. Tokens are what stands between white space."""
+    cp = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) + 1 for t in texts])
+    code = _CODE[np.minimum(cp, _BEYOND)]
+    high = np.flatnonzero(cp >= _BEYOND)
+    if len(high):
+        kind, back = np.unique(cp[high], return_inverse=True)
+        code[high] = np.array([28 + int(k) % 4 if chr(k).isalpha() else _SPACE if chr(k).isspace() else 0 for k in kind], np.uint8)[back]
+    space = code == _SPACE
+    at = np.flatnonzero((code > 0) & ~space)
+    token = np.cumsum(space, dtype=np.int32)
+    return code[at], owner[at - 1], token[at], space[at - 1] & space[np.minimum(at + 1, len(space) - 1)]
+
+
+def units(stream: Stream) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end, in the letters, of each token, and of each run of four or more letters set apart one by one."""
+    code, _, token, alone = stream
+    if not len(code):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    step = np.diff(token, prepend=token[0] - 2)
+    starts = np.flatnonzero(step)
+    ends = np.append(starts[1:], len(code))
+    run = np.flatnonzero(~(alone & (step == 1) & np.append(False, alone[:-1])))
+    over = np.append(run[1:], len(code))
+    many = over - run >= 4
+    starts, ends = np.concatenate([starts, run[many]]), np.concatenate([ends, over[many]])
+    size = ends - starts
+    n = np.where(size <= _UNIT, 1, -(-(size - _UNIT // 2) // (_UNIT // 2)))
+    if (n > 1).any():
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        starts, ends = np.repeat(starts, n) + nth * (_UNIT // 2), np.repeat(ends, n)
+    return starts, np.minimum(ends, starts + _UNIT)
+
+
+def spell(code: np.ndarray) -> str:
+    """Letter codes as text: a to z, and four signs for all other letters."""
+    return (code + np.uint8(96)).tobytes().decode("latin-1")
 
 
 def plain(token: str) -> str:
-    """The letters of a token in lower case, without accents."""
-    return "".join(c for c in token.translate(_PLAIN) if c.isalpha())
+    return spell(letters([token])[0])
 
 
 def tokens(text: str) -> set[str]:
-    """What stands between white space; letters set apart one by one also count together."""
-    out = set(text.split())
-    for m in _SPACED.finditer(text):
-        out.add("".join(m[0].split()))
-    return out
+    """The letters of a text's units."""
+    stream = letters([text])
+    return {spell(stream[0][a:b]) for a, b in zip(*units(stream), strict=True)}
+
+
+def _edged(code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letters of the units in a row, whose they are, and each unit's length, edges included."""
+    size = (ends - starts).astype(np.int64)
+    begin = np.cumsum(size + 2) - size - 1
+    out = np.full(int((size + 2).sum()), _EDGE, np.int32)
+    nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(begin, size) + nth] = code[np.repeat(starts, size) + nth]
+    return out, np.repeat(np.arange(len(size)), size + 2), size + 2
 
 
-def _letter_codes(plains: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Letters of all tokens in a row, whose they are, and each token's length, edges included."""
-    size = np.array([len(p) + 2 for p in plains], np.int64)
-    cp = np.frombuffer("".join(f"{_EDGE}{p}{_EDGE}" for p in plains).encode("utf-32-le"), np.uint32).astype(np.int32)
-    c = np.where((cp >= 97) & (cp <= 123), cp - 96, 28 + cp % 4)
-    return c, np.repeat(np.arange(len(plains)), size), size
+def _named(names: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for spelled units."""
+    code = np.frombuffer("".join(names).encode("latin-1"), np.uint8) - np.uint8(96)
+    size = np.array([len(n) for n in names], np.int64)
+    return _edged(code, np.cumsum(size) - size, np.cumsum(size))
 
 
 def _subsequences(c: np.ndarray, owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-    """For each pattern of gaps: (first letter, code) of the subsequences, and their weight."""
-    for gaps in _GAPS:
-        reach = sum(gaps)
+    """For each pattern of gaps: (owner, code) of the subsequences, and their weight."""
+    for reach, patterns in _GAPS.items():
         if len(c) > reach:
             ok = np.flatnonzero(owner[: len(c) - reach] == owner[reach:])
-            k, at = c[ok], ok
-            for g in gaps:
-                at = at + g
-                k = k * 32 + c[at]
-            yield ok, k, DECAY ** (reach + 1)
-
-
-def _codes(plains: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token, code, weight) of all subsequences."""
-    c, owner, _ = _letter_codes(plains)
-    parts = [(owner[ok], k, np.full(len(ok), w)) for ok, k, w in _subsequences(c, owner)]
+            own, first = owner[ok], c[ok]
+            later = [first, *(c[ok + g] for g in range(1, reach + 1))]
+            for gaps in patterns:
+                k, at = first, 0
+                for g in gaps:
+                    at += g
+                    k = k * 32 + later[at]
+                yield own, k, DECAY ** (reach + 1)
+
+
+def _norms(c: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """The kernel of each unit with itself, its square root."""
+    parts = [(own.astype(np.int64) * _WIDTH + k, np.full(len(k), w)) for own, k, w in _subsequences(c, owner)]
     if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-
-
-def _norms(n: int, who: np.ndarray, code: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    key, back = np.unique(who.astype(np.int64) * _WIDTH + code, return_inverse=True)
-    w = np.bincount(back, weight, len(key))
-    return np.sqrt(np.bincount(key // _WIDTH, w * w, n)) if len(key) else np.zeros(n)
-
-
-def _windows(p: str, width: int = 32) -> list[str]:
-    """A very long token counts as overlapping windows."""
-    return [p] if len(p) <= width else [p[i : i + width] for i in range(0, len(p) - width // 2, width // 2)]
+        return np.zeros(n)
+    key, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    w = np.bincount(back, np.concatenate([w for _, w in parts]), len(key))
+    return np.sqrt(np.bincount(key // _WIDTH, w * w, n))
 
 
 @dataclass
 class Landmarks:
-    """Kernel values of tokens with fixed landmark tokens, as a table by subsequence."""
+    """Kernel values of units with fixed landmarks, as a table by subsequence."""
 
     names: list[str]
 
     def __post_init__(self) -> None:
-        who, code, weight = _codes(self.names)
-        norm = np.maximum(_norms(len(self.names), who, code, weight), 1e-12)
-        key, back = np.unique(code.astype(np.int64) * len(self.names) + who, return_inverse=True)
-        self.share = np.bincount(back, weight / norm[who], len(key)) if len(key) else np.zeros(0)
-        self.of = key % max(1, len(self.names))
-        self.begin = np.searchsorted(key // max(1, len(self.names)), np.arange(_WIDTH + 1)).astype(np.int32)
-        self.held = self.begin[1:] > self.begin[:-1]
+        m = max(1, len(self.names))
+        c, owner, _ = _named(self.names)
+        norm = np.maximum(_norms(c, owner, m), 1e-12)
+        parts = [(k.astype(np.int64) * m + own, w / norm[own]) for own, k, w in _subsequences(c, owner)]
+        key, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.share = np.bincount(back, np.concatenate([w for _, w in parts]), len(key)) if parts else np.zeros(0)
+        self.of = key % m
+        self.begin = np.searchsorted(key // m, np.arange(_WIDTH + 1)).astype(np.int32)
+        self.peak = np.zeros(_WIDTH, np.float32)
+        np.maximum.at(self.peak, key // m, self.share)
 
     def __reduce__(self):  # tasks get the names alone
         return Landmarks, (self.names,)
 
-    def kernel(self, plains: list[str]) -> np.ndarray:
-        """Normalised kernel of each string (of windows of long ones the largest) with each landmark."""
-        parts = [_windows(p) for p in plains]
-        flat = [w for p in parts for w in p]
-        out = np.zeros((len(flat), len(self.names)), np.float32)
-        m = len(self.names)
-        for a in range(0, len(flat), 10_000):
-            part = flat[a : a + 10_000]
-            c, owner, size = _letter_codes(part)
-            sums, least = np.zeros(len(part) * m), np.zeros(len(part))
-            for (ok, k, w), gaps in zip(_subsequences(c, owner), _GAPS, strict=False):
-                least += np.maximum(0, size - sum(gaps)) * w * w
-                hit = np.flatnonzero(self.held[k])
-                if len(hit):
-                    lo = self.begin[k[hit]]
-                    n = self.begin[k[hit] + 1] - lo
-                    upto = np.cumsum(n)
-                    at = np.repeat(lo - (upto - n), n) + np.arange(upto[-1])
-                    sums += np.bincount(np.repeat(owner[ok[hit]] * m, n) + self.of[at], self.share[at] * w, len(part) * m)
-            sums = sums.reshape(len(part), m)
-            # the norm is `least` at least; it is worked out where that leaves a value near
-            near = np.flatnonzero(sums.max(1, initial=0) >= NEAR * np.sqrt(np.maximum(least, 1e-12)))
-            if len(near):
-                exact = _norms(len(near), *_codes([part[i] for i in near]))
-                out[a + near] = sums[near] / np.maximum(exact, 1e-12)[:, None]
-        first = np.cumsum([0] + [len(p) for p in parts])[:-1]
-        return np.maximum.reduceat(out, first, axis=0) if len(flat) else out
+    def values(self, c: np.ndarray, owner: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(units that can be near a landmark, their normalised kernel with each landmark), from edged letters.
+
+        A unit's norm is at least that of its subsequences counted singly, and its kernel with any landmark at most the
+        sum of its subsequences' largest shares: units for which that leaves no value of ``NEAR`` are passed over."""
+        n, m = len(size), len(self.names)
+        most, least = np.zeros(n), np.zeros(n)
+        for own, k, w in _subsequences(c, owner):
+            most += np.bincount(own, self.peak[k], n) * w
+        for reach, patterns in _GAPS.items():
+            least += np.maximum(0, size - reach) * (len(patterns) * DECAY ** (2 * reach + 2))
+        near = np.flatnonzero(most >= NEAR * np.sqrt(np.maximum(least, 1e-12)) - 1e-9) if m else np.zeros(0, np.int64)
+        if not len(near):
+            return near, np.zeros((0, m))
+        new = np.full(n, -1, np.int64)
+        new[near] = np.arange(len(near))
+        ok = new[owner] >= 0
+        c, owner = c[ok], new[owner[ok]]
+        sums = np.zeros(len(near) * m)
+        for own, k, w in _subsequences(c, owner):
+            lo = self.begin[k]
+            many = self.begin[k + 1] - lo
+            hit = np.flatnonzero(many)
+            if len(hit):
+                lo, many = lo[hit], many[hit]
+                upto = np.cumsum(many)
+                at = np.repeat(lo - (upto - many), many) + np.arange(upto[-1])
+                sums += np.bincount(np.repeat(own[hit] * m, many) + self.of[at], self.share[at] * w, len(sums))
+        sums = sums.reshape(len(near), m)
+        some = np.flatnonzero(sums.max(1) >= NEAR * np.sqrt(np.maximum(least[near], 1e-12)))
+        # the norm is `least` at least; it is worked out where that leaves a value near
+        again = np.full(len(near), -1, np.int64)
+        again[some] = np.arange(len(some))
+        ok = again[owner] >= 0
+        exact = _norms(c[ok], again[owner[ok]], len(some))
+        return near[some], sums[some] / np.maximum(exact, 1e-12)[:, None]
+
+    def kernel(self, names: list[str]) -> np.ndarray:
+        """Normalised kernel of each spelled unit with each landmark; 0 where it can't reach ``NEAR``."""
+        out = np.zeros((len(names), len(self.names)), np.float32)
+        for a in range(0, len(names), 10_000):
+            near, value = self.values(*_named(names[a : a + 10_000]))
+            out[a + near] = value
+        return out
 
 
 FEATURES = 3
+_MEMO = 19  # bits
 #: Whole tokens or parts, without or with inserted letters, in one token, over several, or over tokens of one letter each.
 FORMS = 12
-_OTHER = 0x250
-
-
-def _stream(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Letter codes of all texts in a row, whose they are, and the number of the token; of a run of one letter two stay."""
-    cp = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])
-    low = np.zeros(_OTHER + 1, np.uint8)
-    for k, v in _PLAIN.items():
-        low[k] = 0 if v is None else v - 96 if 97 <= v <= 122 else 28 + v % 4
-    low[[k for k in range(_OTHER) if chr(k).isspace()]] = 255
-    code = low[np.minimum(cp, _OTHER)]
-    high = np.flatnonzero(cp >= _OTHER)
-    if len(high):
-        kind, back = np.unique(cp[high], return_inverse=True)
-        code[high] = np.array([28 + int(k) % 4 if chr(k).isalpha() else 255 if chr(k).isspace() else 0 for k in kind], np.uint8)[back]
-    token = np.cumsum(code == 255)
-    letter = np.flatnonzero((code > 0) & (code < 255))
-    code, owner, token = code[letter], owner[letter], token[letter]
+
+
+def _short_runs(stream: Stream) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code, text and token of the letters; of a run of one letter two stay."""
+    code, owner, token, _ = stream
     run = np.zeros(len(code), bool)
     run[2:] = (code[2:] == code[1:-1]) & (code[2:] == code[:-2]) & (token[2:] == token[:-2])
     code, owner, token = code[~run], owner[~run], token[~run]
@@ -188,7 +240,9 @@ class Windows:
         child, end = [[-1] * 32], [[]]
         for i, n in enumerate(names):
             at = 0
-            for c in _stream([n])[0].tolist():
+            own = _named([n])[0][1:-1]
+            zero = np.zeros(len(own), np.int32)
+            for c in _short_runs((own, zero, zero, zero))[0].tolist():
                 if child[at][c] < 0:
                     child[at][c] = len(child)
                     child.append([-1] * 32)
@@ -205,10 +259,10 @@ class Windows:
                 pair[c] = self.child[child[0][c]]
         self.pair = pair.ravel()
 
-    def find(self, texts: list[str], allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def find(self, texts: list[str] | Stream, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, landmark, form) of the windows, each once, of the ``allowed`` forms of each landmark if given; tokens
         that are the landmark itself are left out."""
-        c, owner, token = _stream(texts)
+        c, owner, token = _short_runs(letters(texts) if isinstance(texts, list) else texts)
         n = len(c)
         out: list[np.ndarray] = []
         start, at, node, more = [], [], [], []
@@ -266,53 +320,70 @@ class Machine:
     bias: float
     logit: np.ndarray  # over the features of a text, the constant last
     forms: np.ndarray = field(default_factory=lambda: np.zeros((0, FORMS), bool))  # by landmark, those that count
-    known: dict[str, float] = field(default_factory=dict)
     finder: tuple[Windows, np.ndarray] | None = None
+    memo: tuple[np.ndarray, np.ndarray] | None = None  # hashes of units and their margins, by the hash's first bits
 
-    def __reduce__(self):  # what is known of tokens stays with its worker
+    def __reduce__(self):  # what is known of units stays with its worker
         return Machine, (self.landmarks, self.weight, self.bias, self.logit, self.forms)
 
-    def windows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def windows(self, stream: Stream) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, landmark, form) of the windows of landmarks on the toxic side; once forms are told, of those that count."""
         names = self.landmarks.names
         if not names or not len(self.weight):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         if self.finder is None:
-            self.own = self.margins(names)
+            self.own = self._margins(*self.landmarks.values(*_named(names)), len(names))
             toxic = np.flatnonzero((self.own > 0) & (self.forms.any(1) if len(self.forms) else True))
             self.finder = Windows([names[i] for i in toxic]), toxic
-        t, i, f = self.finder[0].find(texts, self.forms[self.finder[1]] if len(self.forms) else None)
+        t, i, f = self.finder[0].find(stream, self.forms[self.finder[1]] if len(self.forms) else None)
         return t, self.finder[1][i] if len(i) else i, f
 
-    def margins(self, plains: list[str]) -> np.ndarray:
-        """The machine's margin of each string; -1 where no landmark is near."""
-        k = self.landmarks.kernel(plains)
-        return np.where(k.max(1, initial=0) >= NEAR, np.where(k >= NEAR, k, 0) @ self.weight + self.bias, -1.0)
+    def _margins(self, near: np.ndarray, k: np.ndarray, n: int) -> np.ndarray:
+        """The machine's margin of n units; -1 where no landmark is near."""
+        out = np.full(n, -1.0)
+        if len(near) and len(self.weight):
+            reached = k.max(1) >= NEAR
+            out[near[reached]] = np.where(k >= NEAR, k, 0)[reached] @ self.weight + self.bias
+        return out
+
+    def margins(self, code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A hash of each unit, and its margin. Margins of units are remembered in a table of fixed size."""
+        if self.memo is None:
+            self.memo = np.zeros(1 << _MEMO, np.uint64), np.zeros(1 << _MEMO, np.float32)
+        key, value = self.memo
+        h = span_hashes(code, starts, ends) | np.uint64(1)  # never the 0 of an empty place
+        slot = (h >> np.uint64(64 - _MEMO)).astype(np.int64)
+        out = value[slot].astype(float)
+        miss = np.flatnonzero(key[slot] != h)
+        if len(miss):
+            new, first, back = np.unique(h[miss], return_index=True, return_inverse=True)
+            at = miss[first]
+            found = np.full(len(at), -1.0)
+            for a in range(0, len(at), 10_000):
+                own = at[a : a + 10_000]
+                found[a : a + 10_000] = self._margins(*self.landmarks.values(*_edged(code, starts[own], ends[own])), len(own))
+            found = found.astype(np.float32)
+            out[miss] = found[back]
+            key[slot[at]], value[slot[at]] = new, found
+        return h, out
 
     def features(self, texts: list[str]) -> np.ndarray:
-        """Largest margin, and logarithms of how many different tokens and disguised landmarks have a margin over 0 and
+        """Largest margin, and logarithms of how many different units and disguised landmarks have a margin over 0 and
         over 0.5."""
-        sets = [tokens(t) for t in texts]
-        if len(self.known) > 1_000_000:
-            self.known.clear()
-        new = sorted(set().union(*sets).difference(self.known)) if sets else []
-        for a in range(0, len(new), 50_000):
-            letters = [plain(t) for t in new[a : a + 50_000]]
-            distinct = sorted(set(letters))
-            margin = dict(zip(distinct, self.margins(distinct).tolist(), strict=True))
-            self.known.update(zip(new[a : a + 50_000], map(margin.__getitem__, letters), strict=True))
-        out = np.zeros((len(texts), FEATURES))
-        get = self.known.__getitem__
-        disguised: dict[int, set[int]] = {}
+        stream = letters(texts)
+        starts, ends = units(stream)
+        h, m = self.margins(stream[0], starts, ends)
+        near = np.flatnonzero(m > -1.0)
+        doc = stream[1][starts[near]].astype(np.int64)
+        _, one = np.unique(np.stack([doc.astype(np.uint64), h[near]]), axis=1, return_index=True) if len(near) else (None, near)
+        doc, m = doc[one], m[near[one]]
         if self.forms.any():
-            t, i, _ = self.windows(texts)
-            for a, b in zip(t.tolist(), i.tolist(), strict=True):
-                disguised.setdefault(a, set()).add(b)
-        for i, s in enumerate(sets):
-            found = [m for m in map(get, s) if m > -1.0] + [float(self.own[k]) for k in sorted(disguised.get(i, ()))]
-            top = max(found, default=-1.0)
-            out[i] = max(-1.0, min(top, 2.0)), np.log1p(sum(m > 0 for m in found)), np.log1p(sum(m > 0.5 for m in found))
-        return out
+            t, i, _ = self.windows(stream)
+            pair = np.unique(t.astype(np.int64) * len(self.landmarks.names) + i)
+            doc, m = np.append(doc, pair // len(self.landmarks.names)), np.append(m, self.own[pair % len(self.landmarks.names)])
+        top = np.full(len(texts), -1.0)
+        np.maximum.at(top, doc, m)
+        return np.column_stack([np.minimum(top, 2.0), *(np.log1p(np.bincount(doc, m > over, len(texts))) for over in (0, 0.5))])
 
     def predict(self, texts: list[str]) -> np.ndarray:
         raw = self.features(texts) @ self.logit[:-1] + self.logit[-1]
@@ -322,7 +393,7 @@ class Machine:
 def choose(candidates: list[str], most: int, apart: float = 0.8) -> list[str]:
     """The first candidates that are not nearly equal (kernel ``apart``) to an earlier one."""
     taken: list[str] = []
-    names = list(dict.fromkeys(p for p in map(plain, candidates) if 3 <= len(p) <= 32))
+    names = list(dict.fromkeys(candidates))
     if not names:
         return []
     k = Landmarks(names).kernel(names)
@@ -377,20 +448,34 @@ def fit_texts(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int = 4, held_out: int = 2, most_rows: int = 12_000, most_landmarks: int = 160, most_candidates: int = 2_000, most_tokens: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> Machine:
-    """Fits on at most ``most_rows`` labelled rows."""
+    """Fits on at most ``most_rows`` labelled rows (those of smallest hash of the id; null labels are left out).
+
+    Of the units told by their labels, the ``most_candidates`` of largest gain are looked through for at most
+    ``most_landmarks`` that are unlike each other, and the ``most_tokens`` commonest units near a landmark are learnt
+    from: bounds of the fit, not of what is scored. Without labels, or with one label only, the machine has no landmarks.
+    Extra columns are not read; an empty table gives the same machine as no labels.
+    """
     from fathom.llm._store import keep
 
     sample = keep(labelled_sample(docs, labels, label, remainder(F.col("doc_id"), divisor) != held_out, most_rows, id_col, text_col))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                bad: Counter = Counter()
-                good: Counter = Counter()
-                for t, y in zip(strings(b, "text"), numbers(b, "y").to_pylist(), strict=True):
-                    (bad if y else good).update({plain(w) for w in tokens(t)})
-                names = list(bad | good)
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([bad[w] for w in names], pa.int64()), pa.array([good[w] for w in names], pa.int64())], ["token", "bad", "good"])
+        for b in _worker.parts(batches, "text"):
+            y = np.array(numbers(b, "y").to_pylist(), np.int64) > 0
+            stream = letters(strings(b, "text"))
+            starts, ends = units(stream)
+            fit_ = (ends - starts >= 3) & (ends - starts <= _UNIT)
+            starts, ends = starts[fit_], ends[fit_]
+            h, doc = span_hashes(stream[0], starts, ends), stream[1][starts].astype(np.int64)
+            order = np.lexsort((doc, h))
+            h, doc = h[order], doc[order]
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+            order, h, toxic = order[new], h[new], y[doc[new]]
+            first = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
+            names = [spell(stream[0][starts[i] : ends[i]]) for i in order[first].tolist()]
+            bad = np.add.reduceat(toxic.astype(np.int64), first) if len(h) else first
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bad), pa.array(np.diff(np.append(first, len(h))) - bad)], ["token", "bad", "good"])
 
     both = {r["y"] > 0: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = both.get(True, 0), both.get(False, 0)
@@ -398,7 +483,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int
     if n1 and n0:
         seen = sample.mapInArrow(count, "token string, bad long, good long").groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         # log-likelihood gain of a token over the share of toxic rows; chance gives one token in some hundreds so much
-        seen = keep(seen.filter(F.length("token").between(3, 32)))
+        seen = keep(seen)
         total, base = F.col("bad") + F.col("good"), n1 / (n1 + n0)
         share = F.col("bad") / total
         other = F.when(F.col("good") > 0, F.col("good") * F.log((1 - share) / (1 - base))).otherwise(0.0)
@@ -416,13 +501,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int
         machine.weight, machine.bias = fit_tokens(landmarks, [r["token"] for r in close], np.array([r["bad"] for r in close], float), np.array([r["good"] for r in close], float))
 
         def disguises(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for b in slices(whole, "text", 4 << 20):
-                    y = np.array(numbers(b, "y").to_pylist(), np.int64) > 0
-                    t, i, f = machine.windows(strings(b, "text"))
-                    key, at = np.unique(i * FORMS + f, return_inverse=True)
-                    one = [np.bincount(at, y[t] == v, len(key)).astype(np.int64) for v in (True, False)]
-                    yield pa.RecordBatch.from_arrays([pa.array(key), *map(pa.array, one)], ["key", "bad", "good"])
+            for b in _worker.parts(batches, "text"):
+                y = np.array(numbers(b, "y").to_pylist(), np.int64) > 0
+                t, i, f = machine.windows(letters(strings(b, "text")))
+                key, at = np.unique(i * FORMS + f, return_inverse=True)
+                one = [np.bincount(at, y[t] == v, len(key)).astype(np.int64) for v in (True, False)]
+                yield pa.RecordBatch.from_arrays([pa.array(key), *map(pa.array, one)], ["key", "bad", "good"])
 
         held = np.zeros((2, len(landmarks.names) * FORMS))
         for r in sample.mapInArrow(disguises, "key long, bad long, good long").groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).collect():
@@ -433,28 +517,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", divisor: int
         machine.weight = np.zeros(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                x = machine.features(strings(b, "text"))
-                yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), pa.array(list(x), pa.list_(pa.float64())), numbers(b, "y")], ["doc_id", "x", "y"])
+        for b in _worker.parts(batches, "text"):
+            x = machine.features(strings(b, "text"))
+            yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), pa.array(list(x), pa.list_(pa.float64())), numbers(b, "y")], ["doc_id", "x", "y"])
 
     rows = sorted((r["doc_id"], list(r["x"]), r["y"]) for r in sample.mapInArrow(run, "doc_id long, x array<double>, y int").collect())
     machine.logit = fit_texts(np.array([x for _, x, _ in rows], float).reshape(len(rows), FEATURES), np.array([float(y > 0) for _, _, y in rows]))
     return machine
 
 
-_MACHINES: dict[str, Machine] = {}
-
-
 def _kept(model: Machine) -> Machine:
-    """The Python worker's copy of a machine, so that what it knows of tokens outlives a task."""
-    import hashlib
-
+    """The Python worker's copy of a machine."""
     name = hashlib.md5(repr(model.landmarks.names).encode() + model.weight.tobytes() + model.logit.tobytes() + model.forms.tobytes()).hexdigest()
-    if name not in _MACHINES:
-        _MACHINES.clear()
-        _MACHINES[name] = model
-    return _MACHINES[name]
+    return _worker.model(name, lambda: model)
 
 
 def score(docs: DataFrame, model: Machine, divisor: int = 4, held_out: int = 2, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -466,21 +541,23 @@ def score(docs: DataFrame, model: Machine, divisor: int = 4, held_out: int = 2,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _kept(model)
-        for whole in batches:
-            for b in slices(whole, "text", 4 << 20):
-                yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), pa.array(own.predict(strings(b, "text")))], ["doc_id", "score"])
+        for b in _worker.parts(batches, "text", models=True):
+            yield pa.RecordBatch.from_arrays([numbers(b, "doc_id"), pa.array(own.predict(strings(b, "text")))], ["doc_id", "score"])
 
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", (remainder(F.col("doc_id"), divisor) == held_out).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
 def filter_rows(docs: DataFrame, model: Machine, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text stays under the threshold, with all their columns."""
+    """The rows of ``docs`` whose text stays under the threshold, with all their columns.
+
+    Null and empty texts are kept, as they are near no landmark; equal texts are kept or dropped alike, repeated rows
+    each; an empty table gives no rows; other columns are carried along, whatever their names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _kept(model)
-        for whole in batches:
-            for b in slices(whole, text_col, 4 << 20):
-                yield b.filter(pa.array(own.predict(strings(b, text_col)) < threshold))
+        for b in _worker.parts(batches, text_col, models=True):
+            yield b.filter(pa.array(own.predict(strings(b, text_col)) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
