@@ -6,7 +6,8 @@ page's blocks in both directions and labels each as main text or not, with the w
 
 There are no labels, so the labeller learns from structure: blocks of a bounded sample of pages that stand in the
 page's article element and in no element named for other uses, and pages laid out at random from the sample's own
-sentences, in which menus, notices, adverts, forms, comments and article bodies stand under many names.
+sentences, in which menus, notices, adverts, forms, comments and article bodies stand under many names. Every page is
+also learnt from with all names left out.
 """
 
 from __future__ import annotations
@@ -24,23 +25,39 @@ from pyspark.sql import functions as F
 from fathom.llm import _worker
 from fathom.llm._text import numbers, strings, words
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|textarea|iframe)\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
-_NAMES = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_OPENS = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"""[\s/]*(?:([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?)?""")
+_NAMED = frozenset(("class", "id", "role", "itemprop"))
 _PART = re.compile(r"[a-z]+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img picture source".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Elements whose content is no text of the page.
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>]|$)", re.I) for t in "script style noscript template svg textarea iframe".split()}
+_DEEP = 16  # of more open elements than twice so many, the path tells the outermost and the innermost ones
 
 Block = tuple[str, tuple[str, ...], float]  # text, path words, share of it inside links
 
 
+def _attributes(html: str, at: int) -> tuple[str, int]:
+    """The naming words of a tag whose attributes begin at ``at``, and the place of its end sign."""
+    named: list[str] = []
+    while at < len(html) and html[at] != ">":
+        m = _ATTRIBUTE.match(html, at)
+        if m[1] and m[1].lower() in _NAMED:
+            named.append(m[2] or m[3] or m[4] or "")
+        at = m.end() if m.end() > at else at + 1
+    return " ".join(named), at
+
+
 def blocks(html: str) -> list[Block]:
-    """The leaf blocks of a page in order: references decoded, white space made single spaces, empty ones left out."""
+    """The leaf blocks of a page in order: references decoded, white space made single spaces, empty ones left out.
+
+    One pass: each place of the page is read by one tag, comment or text. A tag or comment without an end reaches to the
+    end of the page, as in browsers; a sign that begins no tag is text."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    open_: dict[str, int] = {}
     text: list[str] = []
     linked = [0, 0]
     links = 0
@@ -50,7 +67,8 @@ def blocks(html: str) -> list[Block]:
         if text:
             plain = " ".join(unescape("".join(text)).split())
             if plain:
-                out.append((plain, tuple(w for _, ws in stack if ws for w in ws), linked[1] / max(1, linked[0])))
+                told = stack if len(stack) <= 2 * _DEEP else stack[:_DEEP] + stack[-_DEEP:]
+                out.append((plain, tuple(w for _, ws in told for w in ws), linked[1] / max(1, linked[0])))
             text = []
             linked[0] = linked[1] = 0
 
@@ -61,43 +79,67 @@ def blocks(html: str) -> list[Block]:
             if links:
                 linked[1] += len(piece)
 
+    def pop() -> str:
+        tag = stack.pop()[0]
+        open_[tag] -= 1
+        return tag
+
     def pop_to(tag: str) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == tag:
-                del stack[k:]
-                return
-
-    at = 0
-    for m in _TOKEN.finditer(html):
-        say(html[at : m.start()])
-        at = m.end()
-        tag = m[3]
-        if not tag:
+        while open_.get(tag) and pop() != tag:
+            pass
+
+    at, n = 0, len(html)
+    while at < n:
+        begin = html.find("<", at)
+        if begin < 0:
+            say(html[at:])
+            break
+        m = _OPENS.match(html, begin + 1)
+        if not m:
+            if html.startswith("<!--", begin):
+                say(html[at:begin])
+                close = html.find("-->", begin + 4)
+                at = n if close < 0 else close + 3
+            elif html[begin + 1 : begin + 2] in ("!", "?", "/"):
+                say(html[at:begin])
+                close = html.find(">", begin + 2)
+                at = n if close < 0 else close + 1
+            else:
+                say(html[at : begin + 1])
+                at = begin + 1
+            continue
+        say(html[at:begin])
+        closing = m[0][0] == "/"
+        tag = m[0].lstrip("/").lower()
+        named, close = _attributes(html, m.end())
+        at = close + 1
+        if tag in _RAW:
+            if not closing and not (tag == "svg" and html[close - 1] == "/"):
+                over = _RAW[tag].search(html, at)
+                at = n if over is None else html.find(">", over.end()) + 1 or n
             continue
-        tag = tag.lower()
         if tag in _INLINE:
             if tag == "br":
                 say(" ")
             elif tag == "a":
-                links = 0 if m[2] else 1
+                links = 0 if closing else 1
             continue
         end()
         links = 0
-        if m[2]:
+        if closing:
             pop_to(tag)
         elif tag not in _VOID:
-            if tag in _CLOSES_P and any(t == "p" for t, _ in stack):
+            if tag in _CLOSES_P:
                 pop_to("p")
             elif tag in ("li", "option", "tr", "td", "th") and stack and stack[-1][0] == tag:
-                stack.pop()
-            named = " ".join(a or b or c for a, b, c in _NAMES.findall(m[4])) if m[4] else ""
+                pop()
             stack.append((tag, (f"<{tag}", *_PART.findall(named.lower()))))
-    say(html[at:])
+            open_[tag] = open_.get(tag, 0) + 1
     end()
     return out
 
 
-PATH, WORDS, NUMBERS = 192, 32, 5
+PATH, WORDS, NUMBERS = 192, 32, 8
 WIDTH = PATH + WORDS + NUMBERS
 
 
@@ -142,7 +184,10 @@ def vectors(pages: list[list[Block]]) -> Rows:
         count = np.bincount(of * WORDS + (h % np.uint64(WORDS)).astype(np.int64), minlength=len(flat) * WORDS).reshape(-1, WORDS)
         dense[:, :WORDS] = count / np.maximum(n, 1)[:, None]
         size = np.array([len(t) for t, _, _ in flat], float)
-        dense[:, WORDS:] = np.column_stack([np.log1p(size) / 5, np.log1p(n) / 4, [s for _, _, s in flat], [t[-1] in ".!?" for t, _, _ in flat], [len(p) / 8 for _, p, _ in flat]])
+        place = np.concatenate([np.arange(len(p)) / len(p) for p in pages if p])
+        many = np.repeat([len(p) for p in pages], [len(p) for p in pages])
+        marks = np.array([t.count(",") + t.count(". ") + t.count("; ") for t, _, _ in flat], float)
+        dense[:, WORDS:] = np.column_stack([np.log1p(size) / 5, np.log1p(n) / 4, [s for _, _, s in flat], [t[-1] in ".!?" for t, _, _ in flat], [len(p) / 8 for _, p, _ in flat], place, np.log1p(many) / 4, np.log1p(marks) / 2])
     return Rows(paths, path, dense)
 
 
@@ -240,7 +285,7 @@ class Labeller:
             grad[f"wx{d}"], grad[f"c{d}"] = x.gradient(flat), flat.sum(0)
         return grad
 
-    def fit(self, pages: list[list[Block]], labels: list[np.ndarray], epochs: int = 6, batch: int = 16, rate: float = 0.02, seed: int = 5) -> Labeller:
+    def fit(self, pages: list[list[Block]], labels: list[np.ndarray], epochs: int = 4, batch: int = 16, rate: float = 0.02, seed: int = 5) -> Labeller:
         rng = np.random.default_rng(seed)
         x, sizes = vectors(pages), [len(p) for p in pages]
         first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
@@ -330,17 +375,33 @@ def random_page(sentences: list[str], rng: np.random.Generator) -> tuple[list[Bl
     return page, np.array(truth)
 
 
+def nameless(page: list[Block]) -> list[Block]:
+    """The page with every class, id and role left out: what is left are tags, text, links and places."""
+    return [(t, tuple(w for w in path if w[0] == "<"), s) for t, path, s in page]
+
+
+def sample(pages: DataFrame, most_pages: int, id_col: str = "page_id", html_col: str = "html") -> list[list[Block]]:
+    """Blocks of the pages of smallest hash of the id; of repeated ids one page. Only the chosen pages travel."""
+    own = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).filter("html IS NOT NULL AND id IS NOT NULL")
+    few = own.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(most_pages)
+    rows = own.join(F.broadcast(few), "id", "left_semi").groupBy("id").agg(F.min("html").alias("html"))
+    return [p for p in (blocks(html) for _, html in sorted(map(tuple, rows.collect()))) if p]
+
+
 def train(pages: DataFrame, most_pages: int = 160, made: int = 320, id_col: str = "page_id", html_col: str = "html") -> Labeller:
-    """Fits on at most ``most_pages`` pages (those of smallest hash of the id) and as many random layouts as ``made``."""
-    few = pages.filter(F.col(html_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).orderBy(F.xxhash64("id"), "id").limit(most_pages)
-    own = [blocks(r["html"]) for r in few.collect()]
-    own = [p for p in own if p]
+    """Fits on at most ``most_pages`` pages (those of smallest hash of the id) and as many random layouts as ``made``.
+
+    Each page is learnt from twice, the second time without the names in it, so that text, links and place in the page
+    have to tell what names else would. Null pages and null ids are left out; of repeated ids one page counts; without
+    any page the layouts alone are learnt; other columns are not read.
+    """
+    own = sample(pages, most_pages, id_col, html_col)
     sentences = sorted({t for p in own for t, _, _ in p}) or ["Lorem ipsum."]
     rng = np.random.default_rng(3)
     drawn = [random_page(sentences, rng) for _ in range(made)]
     labelled = [(p, structural_labels(p)) for p in own]
-    labelled = [(p, y) for p, y in labelled if y.any()]  # a page without an article teaches nothing
-    return Labeller().fit([p for p, _ in labelled] + [p for p, _ in drawn], [y for _, y in labelled] + [y for _, y in drawn])
+    labelled = [(p, y) for p, y in labelled if y.any()] + drawn  # a page without an article teaches nothing
+    return Labeller().fit([p for p, _ in labelled] + [nameless(p) for p, _ in labelled], [y for _, y in labelled] * 2)
 
 
 def extract(pages: DataFrame, model: Labeller, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
