@@ -1,10 +1,15 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-Three machines are compiled from the model file: the normaliser (dummy prefix, spaces to the piece mark), the pieces
-(a prefix tree whose arcs cost minus the piece's score) and the byte fallback (any other character to its bytes). They
-are composed with a follow-on machine that admits a piece after another only where merging the two pieces' letters
-afresh gives just these two, which makes the accepted paths those of byte-pair merging. An input is composed with the
-result and the path of least cost in the tropical semiring (min, +) is the encoding; decoding runs the pieces backwards.
+Three machines are compiled from the model file. The normaliser rewrites (the file's own character map, longest match
+first; dummy prefix; spaces to the piece mark). The pieces are states of a prefix tree, whose arcs read a letter; a state
+at which a piece ends writes it at a weight of minus its score. The byte fallback writes the bytes (or the unknown piece)
+of a letter that is no piece. An input is composed with them, and the path of least weight in the tropical semiring
+(min, +) is the encoding: every place of the input keeps the least weight of the paths that reach it. Decoding runs the
+pieces backwards.
+
+Unigram models are that alone: weights decide. For byte-pair models the sum of scores is not the criterion, so a fourth
+machine is composed in: it admits a piece after another only where merging the two pieces' letters afresh, by the
+weights, gives just these two. That leaves the path of byte-pair merging.
 
 Pieces never reach over a space that follows something else, so a text's units between such places are composed alone,
 and equal units once.
@@ -57,14 +62,46 @@ def _fields(blob: bytes) -> Iterator[tuple[int, int | bytes]]:
             yield tag >> 3, blob[at - n : at]
 
 
+def character_map(blob: bytes) -> dict[str, str]:
+    """What the normaliser writes for what it reads: a double array of the keys' bytes, and the texts they stand for."""
+    if not blob:
+        return {}
+    size = int(np.frombuffer(blob, "<u4", 1)[0])
+    tree, texts = np.frombuffer(blob, "<u4", size // 4, 4).astype(np.int64), blob[4 + size :]
+    label, leaf, offset = tree & (1 << 31 | 255), tree >> 8 & 1, (tree >> 10) << ((tree & 1 << 9) >> 6)
+    out: dict[str, str] = {}
+    todo, each = [(int(offset[0]), b"")], np.arange(1, 256)
+    while todo:
+        base, key = todo.pop()
+        at = base ^ each
+        for c in each[(at < len(tree)) & (label[np.minimum(at, len(tree) - 1)] == each)].tolist():
+            node = base ^ c
+            below, own = node ^ int(offset[node]), key + bytes([c])
+            if leaf[node]:
+                begin = int(tree[below]) & (1 << 31) - 1
+                out[own.decode("utf-8", "replace")] = texts[begin : texts.index(b"\0", begin)].decode("utf-8", "replace")
+            todo.append((below, own))
+    return out
+
+
+UNIGRAM, BYTE_PAIRS = 1, 2
+_UNKNOWN_WEIGHT = 10.0  # what an unknown letter weighs more than the rarest piece
+
+
 class Transducer(UnitMemo):
     def __init__(self, path: str, most: int = 300_000):
         super().__init__(most)
         with open(path, "rb") as f:
-            model = list(_fields(f.read()))
+            self._compile(list(_fields(f.read())))
+
+    def _compile(self, model: list[tuple[int, int | bytes]]) -> None:
+        trainer = dict(_fields(next((v for k, v in model if k == 2), b"")))
+        self.kind = trainer.get(3, UNIGRAM)
+        if self.kind not in (UNIGRAM, BYTE_PAIRS) or trainer.get(24):
+            raise ValueError("only unigram and byte-pair models with the space before a word are supported")
         self.pieces: list[str] = []
-        self.cost: list[float] = []
-        self.arcs: dict[str, int] = {}
+        self.weight: list[float] = []
+        self.number: dict[str, int] = {}
         self.bytes_: dict[int, int] = {}
         self.unknown = 0
         for _, raw in (x for x in model if x[0] == 1):
@@ -72,20 +109,31 @@ class Transducer(UnitMemo):
             piece, kind = part.get(1, b"").decode(), part.get(3, 1)
             number = len(self.pieces)
             self.pieces.append(piece)
-            self.cost.append(-float(np.frombuffer(part.get(2, bytes(4)), "<f4")[0]))
+            self.weight.append(-float(np.frombuffer(part.get(2, bytes(4)), "<f4")[0]))
             if kind in (1, 4):
-                self.arcs[piece] = number
+                self.number[piece] = number
             elif kind == 6:
                 self.bytes_[int(piece[3:5], 16)] = number
             elif kind == 2:
                 self.unknown = number
         options = dict(_fields(next((v for k, v in model if k == 3), b"")))
-        if options.get(2):
-            raise ValueError("a normaliser with its own character map isn't supported")
+        self.map = character_map(options.get(2, b""))
+        self.longest, self.mapped = max(map(len, self.map), default=0), frozenset(k[0] for k in self.map)
         self.dummy, self.squeeze = options.get(3, 1), options.get(4, 1)
-        # the prefix tree: the piece that ends at a node, or -1
-        self.walk = {p[:k]: -1 for p in self.arcs for k in range(1, len(p) + 1)} | self.arcs
-        long = [p for p in self.arcs if len(p) > 1]
+        # arcs by state and letter, and the piece that ends at a state, or -1
+        self.arc: dict[int, int] = {}
+        self.ends = [-1]
+        for piece, number in self.number.items():
+            state = 0
+            for c in piece:
+                key = state << 21 | ord(c)
+                if key not in self.arc:
+                    self.arc[key] = len(self.ends)
+                    self.ends.append(-1)
+                state = self.arc[key]
+            self.ends[state] = number
+        self.fallback = max((self.weight[k] for k in self.number.values()), default=0.0) + _UNKNOWN_WEIGHT
+        long = [p for p in self.number if len(p) > 1]
         self.alone = "".join(c for c in "\n\t" if not any(c in p for p in long))
         if any(MARK in p.lstrip(MARK) for p in long):
             raise ValueError("a piece holds a space after something else")
@@ -94,11 +142,23 @@ class Transducer(UnitMemo):
         for b, k in self.bytes_.items():
             self.surface[k] = bytes([b])
         for k, p in enumerate(self.pieces):
-            if p not in self.arcs and k not in self.bytes_.values():
+            if p not in self.number and k not in self.bytes_.values():
                 self.surface[k] = " ⁇ ".encode() if k == self.unknown else b""
 
     # the normaliser
+    def rewrite(self, text: str) -> str:
+        """The character map alone."""
+        if not self.map or self.mapped.isdisjoint(text):
+            return text
+        out, at = [], 0
+        while at < len(text):
+            n = next((n for n in range(min(self.longest, len(text) - at), 0, -1) if text[at : at + n] in self.map), 0) if text[at] in self.mapped else 0
+            out.append(self.map[text[at : at + n]] if n else text[at])
+            at += n or 1
+        return "".join(out)
+
     def normalise(self, text: str) -> str:
+        text = self.rewrite(text)
         if self.squeeze:
             text = " ".join(w for w in text.split(" ") if w)
         if not text:
@@ -107,10 +167,10 @@ class Transducer(UnitMemo):
 
     # the follow-on machine
     def _merge(self, text: str) -> list[str]:
-        """Pieces by merging neighbours of least cost first, the left ones of equals."""
+        """Pieces by merging neighbours of least weight first, the left ones of equals."""
         parts = list(text)
         while len(parts) > 1:
-            options = [(self.cost[self.arcs[a + b]], k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.arcs]
+            options = [(self.weight[self.number[a + b]], k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.number]
             if not options:
                 break
             _, k = min(options)
@@ -119,52 +179,62 @@ class Transducer(UnitMemo):
 
     def _admits(self, a: int, b: int) -> bool:
         """Whether piece b may follow piece a (-1: a place over which nothing merges)."""
-        if a < 0:
-            return len(self._merge(self.pieces[b])) == 1
-        return self._merge(self.pieces[a] + self.pieces[b]) == [self.pieces[a], self.pieces[b]]
+        key = (a << 20) + b
+        ok = self.follow.get(key)
+        if ok is None:
+            if len(self.follow) > 300_000:
+                self.follow.clear()
+            one, two = self.pieces[b], self.pieces[a] if a >= 0 else ""
+            ok = self.follow[key] = self._merge(two + one) == ([two, one] if two else [one])
+        return ok
 
     # composition with one unit, and its shortest path
-    def unit(self, text: str) -> list[int]:  # type: ignore[override]
-        """The least-cost path. The follow-on machine leaves one path at most to each place (a text's prefix has one
-        encoding), so the first that reaches a place is the least and no other is sought."""
-        n = len(text)
-        last, before = [-2] * (n + 1), [0] * (n + 1)  # -2: not reached
-        last[0] = -1
-        walk, follow = self.walk.get, self.follow
+    def shortest(self, text: str) -> tuple[list[int], float]:
+        """The path of least weight through the composed machines, as piece numbers (-1: one letter by the fallback)."""
+        n, far = len(text), float("inf")
+        letter = [ord(c) for c in text]
+        best, last, before = [0.0] + [far] * n, [-1] * (n + 1), [0] * (n + 1)
+        arc, ends, weight, free = self.arc.get, self.ends, self.weight, self.kind == UNIGRAM
         for s in range(n):
-            p = last[s]
-            if p == -2:
+            here, p = best[s], last[s]
+            if here == far:
                 continue
-            e = s + 1
-            k = walk(text[s])
-            if k is None or k < 0 and text[s] not in self.arcs:  # byte fallback
-                if last[e] == -2:
-                    last[e], before[e] = -1, s
-            while k is not None:
-                if k >= 0 and last[e] == -2:
-                    pair = (p << 20) + k
-                    ok = follow.get(pair)
-                    if ok is None:
-                        ok = follow[pair] = self._admits(p, k)
-                    if ok:
-                        last[e], before[e] = k, s
-                e += 1
-                if e > n:
+            state, e, single = 0, s, False
+            while e < n:
+                state = arc(state << 21 | letter[e])
+                if state is None:
                     break
-                k = walk(text[s:e])
-        out: list[int] = []
+                e += 1
+                k = ends[state]
+                if k >= 0:
+                    single |= e == s + 1
+                    total = here + weight[k]
+                    if total < best[e] and (free or self._admits(p, k)):
+                        best[e], last[e], before[e] = total, k, s
+            if not single and here + self.fallback < best[s + 1]:
+                best[s + 1], last[s + 1], before[s + 1] = here + self.fallback, -1, s
+        path = []
         at = n
         while at > 0:
-            s = before[at]
-            if last[at] >= 0:
-                out.append(last[at])
-            else:
-                raw = text[s:at].encode("utf-8", "surrogatepass")
-                out += [self.bytes_.get(b, self.unknown) for b in reversed(raw)] if self.bytes_ else [self.unknown]
-            at = s
-        if len(follow) > 1_000_000:
-            follow.clear()
-        return out[::-1]
+            path.append(last[at])
+            at = before[at]
+        return path[::-1], best[n]
+
+    def unit(self, text: str) -> list[int]:  # type: ignore[override]
+        out: list[int] = []
+        at, unknown = 0, False
+        for k in self.shortest(text)[0]:
+            if k >= 0:
+                out.append(k)
+                at += len(self.pieces[k])
+                unknown = False
+                continue
+            if self.bytes_:
+                out += [self.bytes_.get(b, self.unknown) for b in text[at].encode("utf-8", "surrogatepass")]
+            elif not unknown:  # a run of unknown letters is one piece
+                out.append(self.unknown)
+            at, unknown = at + 1, True
+        return out
 
     def split(self, texts: list[str]) -> Split:  # type: ignore[override]
         normal = [self.normalise(t) for t in texts]
