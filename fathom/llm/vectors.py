@@ -105,6 +105,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, most_sample: in
     as often as it has rows. A class looks into its ``probes`` nearest lists; a member stays in play if its asymmetric
     distance is within the threshold's distance plus the member's own quantising error, so codes lose no link; exact
     cosines in double precision decide. Lists that grow past ``BLOCK`` members, and their queries, are dealt in blocks.
+    Centres and words are fitted on at most ``most_sample`` classes (those of smallest hash). There are at most
+    ``most_lists`` lists: beyond some 2.6 million classes they grow with the table, and so does the work for a vector.
 
     Rows whose label or vector is null, whose vector is empty or zero or holds null or non-finite components link with
     nothing: they are their own component. Repeated rows are vectors of their own. An empty table gives no rows.
@@ -138,15 +140,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, most_sample: in
     indexed = keep(classes.mapInPandas(index, "cid long, key long, many long, v array<double>, probe array<int>, code binary, error double"))
     members = indexed.withColumn("list", F.col("probe")[0])
     queries = indexed.withColumn("list", F.explode("probe"))
-    full = lambda df, most: {(r["key"], r["list"]): -(-r["count"] // most) for r in df.groupBy("key", "list").count().filter(F.col("count") > most).collect()}
-    schema = "key long, list int, m_blocks int, q_blocks int"
-    m_full, q_full = full(members, BLOCK), full(queries, 2 * BLOCK)
-    split = spark.createDataFrame([(*k, m_full.get(k, 1), q_full.get(k, 1)) for k in sorted({*m_full, *q_full})], schema)
+    full = lambda df, most, name: df.groupBy("key", "list").count().filter(F.col("count") > most).select("key", "list", F.ceil(F.col("count") / most).cast("int").alias(name))
+    split = keep(full(members, BLOCK, "m_blocks").join(full(queries, 2 * BLOCK, "q_blocks"), ["key", "list"], "full"))
     own_m, own_q = F.pmod(F.xxhash64("cid"), F.coalesce("m_blocks", F.lit(1))).cast("int"), F.pmod(F.xxhash64("cid", F.lit(1)), F.coalesce("q_blocks", F.lit(1))).cast("int")
     every = lambda c: F.explode(F.sequence(F.lit(0), F.coalesce(c, F.lit(1)) - 1))
     columns = ["key", "list", "mb", "qb", "cid", "many", "v", "probe", "code", "error"]
-    m = members.join(F.broadcast(split), ["key", "list"], "left").withColumn("mb", own_m).withColumn("qb", every("q_blocks")).select(*columns).toDF(*columns)
-    q = queries.join(F.broadcast(split), ["key", "list"], "left").withColumn("qb", own_q).withColumn("mb", every("m_blocks")).select(*columns).toDF(*columns)
+    m = members.join(split, ["key", "list"], "left").withColumn("mb", own_m).withColumn("qb", every("q_blocks")).select(*columns).toDF(*columns)
+    q = queries.join(split, ["key", "list"], "left").withColumn("qb", own_q).withColumn("mb", every("m_blocks")).select(*columns).toDF(*columns)
 
     def link(k: tuple, member: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
         nothing = pd.DataFrame({"cid": np.zeros(0, np.int64), "links": np.zeros(0, np.int64), "root": np.zeros(0, np.int64)})
@@ -195,79 +195,137 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, most_sample: in
     return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
-def _top_of_block(ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: int, index: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of a block for one query: (rows, scores), exact.
+def _pack(x: np.ndarray) -> bytes:
+    """A matrix of whole numbers: two bytes each where they fit, else doubles."""
+    small = x.size == 0 or float(np.abs(x).max()) < 2**15
+    return b"s" + x.astype(np.int16).tobytes() if small else b"d" + x.tobytes()
+
+
+def _unpack(raw: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(raw, np.int16 if raw[:1] == b"s" else np.float64, offset=1).astype(float).reshape(-1, width)
+
+
+class Segments:
+    """An impact-ordered index of a block of vectors.
+
+    A segment is the posting list of the rows whose component d lies in one of ``levels`` equal levels of that
+    component's range. For a query with weight w on d, each row of the segment has at least |w| * step * height above
+    the component's worst value, height counting the levels from the worst one: the segment's quantised impact."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, x: np.ndarray, levels: int):
+        """ids: vec_id, rows: a number of its own for each row, x: whole numbers."""
+        self.ids, self.rows, self.x, self.levels = ids, rows, x, levels
+        self.low = x.min(0)
+        self.step = (x.max(0) - self.low + 1) / levels
+        level = np.minimum(((x - self.low) / self.step).astype(np.int64), levels - 1)
+        segment = level + np.arange(x.shape[1]) * levels
+        self.postings = (np.argsort(segment.ravel(), kind="stable") // x.shape[1]).astype(np.uint16)
+        self.begin = np.concatenate([[0], np.cumsum(np.bincount(segment.ravel(), minlength=x.shape[1] * levels))]).astype(np.int64)
+
+    def dump(self) -> dict[str, bytes]:
+        return {"ids": self.ids.tobytes(), "rows": self.rows.tobytes(), "x": _pack(self.x), "low": self.low.tobytes(), "step": self.step.tobytes(), "postings": self.postings.tobytes(), "begin": self.begin.tobytes()}
+
+    @classmethod
+    def load(cls, stored: dict[str, bytes], levels: int) -> Segments:
+        self = cls.__new__(cls)
+        self.levels = levels
+        self.ids, self.rows, self.begin = (np.frombuffer(stored[k], np.int64) for k in ("ids", "rows", "begin"))
+        self.low, self.step = np.frombuffer(stored["low"], float), np.frombuffer(stored["step"], float)
+        self.x, self.postings = _unpack(stored["x"], len(self.low)), np.frombuffer(stored["postings"], np.uint16)
+        return self
+
+    def top(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """The k best rows but ``own`` for one query, their exact scores, and how many segments were taken.
+
+        Segments are processed by descending impact, each crediting its postings. After every sixteenth part of them the
+        leading rows are scored exactly, and the k-th best of these bounds the answer from below. What a row has
+        gathered, plus what each component's segments still to come can give (or, if its own has come, the width of a
+        level), bounds it from above. Processing stops when the rows that can still belong to the answer are few, which
+        proves that all others do not, or when no segment is left; those rows are scored exactly."""
+        n, levels = self.x.shape[0], self.levels
+        d_of, level = np.divmod(np.arange(len(self.low) * levels), levels)
+        worth = (np.abs(q) * self.step)[d_of]
+        height = np.where(q[d_of] >= 0, level, levels - 1 - level)
+        impact = worth * height
+        order = np.argsort(-impact, kind="stable")
+        order = order[(impact[order] > 0) & (self.begin[order + 1] > self.begin[order])]
+        worst = float((q * np.where(q >= 0, self.low, self.low + self.step * levels)).sum())
+        frontier = np.abs(q) * self.step * levels
+        gathered = np.zeros(n)
+        possible = np.flatnonzero(self.rows != own)
+        few, batch, taken = max(4 * k, n // 16), max(1, -(-len(order) // 16)), 0
+        while len(possible) > few and taken < len(order):
+            some = order[taken : taken + batch]
+            taken += len(some)
+            for s, credit in zip(some.tolist(), impact[some].tolist(), strict=True):
+                gathered[self.postings[self.begin[s] : self.begin[s + 1]]] += credit
+            np.minimum.at(frontier, d_of[some], (worth * np.maximum(1, height))[some])
+            held = gathered[possible]
+            lead = possible[np.argpartition(held, -2 * k)[-2 * k :]]
+            best = np.partition(self.x[lead] @ q, -k)[-k]
+            possible = possible[held + frontier.sum() + worst + 1e-6 * (1 + abs(best)) >= best]
+        score = self.x[possible] @ q
+        best = np.lexsort((self.ids[possible], -score))[:k]
+        return possible[best], score[best], taken
+
+
+_INDEX = ("ids", "rows", "x", "low", "step", "postings", "begin")
+
+
+def impact_index(rows: DataFrame, width: int, block: int, levels: int) -> DataFrame:
+    """One row for each block of the stored (rid, vec_id, v): its segments, ready to load. Blocks hold some ``block`` rows."""
+    blocks = max(1, -(-rows.count() // block))
+
+    def build(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for k, a in enumerate(range(0, len(f), 1 << 16)):  # a posting is a number of two bytes
+            g = f.iloc[a : a + (1 << 16)]
+            index = Segments(g["vec_id"].to_numpy(np.int64), g["rid"].to_numpy(np.int64), _matrix(g["v"], width), levels)
+            out.append({"b": int(key[0]) + k * blocks, **index.dump()})
+        return pd.DataFrame(out)
 
-    Segments (a component and a level of its values) are taken by descending impact, the query's weight times the
-    level's height over the component's lowest value, and credited to their rows. What a row has gathered bounds its
-    score from below; adding what the open segments and the levels' widths can still give bounds it from above. After
-    each batch of segments the rows that lead are scored exactly, and the k-th of these bounds the answer from below.
-    Segments are taken until the rows whose upper bound reaches it are few, or none is left; just those rows are scored
-    exactly. Dense vectors leave little to skip, so batches are large; ``slots`` holds each row's segments in a row.
-    """
-    slots, step, low, levels = index
-    weight = np.abs(q)
-    d_of, level = np.divmod(np.arange(x.shape[1] * levels), levels)
-    # a level's height above its component's floor; negative weights read the levels from below
-    height = np.where(q[d_of] >= 0, level, levels - 1 - level)
-    worth = (weight * step)[d_of]
-    rank = np.argsort(-worth * (height + 1), kind="stable")
-    rank = rank[worth[rank] > 0]
-    credit = np.zeros(x.shape[1] * levels)
-    frontier = weight * step * levels
-    possible = np.flatnonzero(ids != own)
-    # what the score of a row at every floor would be
-    floor = float((q * np.where(q >= 0, low, low + step * levels)).sum())
-    few, at = max(4 * k, len(x) // 16), 0
-    for share in (0.7, 0.9, 1.0):
-        upto = int(np.ceil(len(rank) * share))
-        if len(possible) <= few or at >= upto:
-            break
-        seg, at = rank[at:upto], upto
-        credit[seg] = worth[seg] * height[seg]
-        np.minimum.at(frontier, d_of[seg], worth[seg] * np.maximum(1, height[seg]))
-        gathered = credit[slots[possible]].sum(1)
-        lead = possible[np.argpartition(gathered, -2 * k)[-2 * k :]]
-        best = np.partition(x[lead] @ q, -k)[-k]
-        possible = possible[gathered + frontier.sum() + floor + 1e-6 * (1 + abs(best)) >= best]
-    score = x[possible] @ q
-    top = np.lexsort((ids[possible], -score))[:k]
-    return possible[top], score[top]
-
-
-def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, block: int = 2048, chunk: int = 512, levels: int = 16, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    dealt = rows.select(F.pmod(F.xxhash64("rid"), F.lit(blocks)).cast("long").alias("b"), "rid", "vec_id", "v")
+    return keep(dealt.groupBy("b").applyInPandas(build, "b long, " + ", ".join(f"{c} binary" for c in _INDEX)))
+
+
+def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, block: int = 8192, chunk: int = 8192, levels: int = 16, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k best inner products of floor(scale * x) for each row whose id is divisible
     by ``every``, against all other rows; ties go to the smaller id.
 
-    Null vectors and those with null or non-finite components take no part; shorter vectors count as filled up with
-    zeros. Equal repeated queries are answered once; repeated candidates each take a rank. No queries or no candidates
-    give no rows. Candidates stand in blocks and queries in chunks, and each pair of them meets in one task group.
+    Vectors that are null or hold null or non-finite components, and rows without an id, take no part; an empty or
+    shorter vector counts as filled up with zeros. Each query row is answered, also where ids or whole rows repeat, and
+    has all rows but itself as candidates. No queries or no candidates give no rows; other columns are not read. The
+    index is built and stored once a block; blocks of the index and chunks of queries travel whole, each pair of them
+    to a task group of its own.
     """
     quantised = F.transform("v", lambda x: F.floor(x * float(scale)).cast("double"))
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & _usable("v")).select("vec_id", quantised.alias("v"))
-    rows = keep(rows)
-    asked = keep(rows.filter(F.pmod("vec_id", F.lit(every)) == 0).distinct().withColumn("qid", F.xxhash64("vec_id", "v")))
-    n, width = rows.agg(F.count("*"), F.max(F.size("v"))).first()
-    width = width or 1
-    blocks, chunks = max(1, -(-n // block)), max(1, -(-asked.count() // chunk))
-    c = rows.select("vec_id", F.lit(None).cast("long").alias("qid"), "v", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).cast("int").alias("b"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("c"))
-    q = asked.select("vec_id", "qid", "v", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), F.pmod(F.xxhash64("qid"), F.lit(chunks)).cast("int").alias("c"))
-
-    def search(candidate: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
+    finite = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & finite)
+    rows = keep(rows.select(F.monotonically_increasing_id().alias("rid"), "vec_id", quantised.alias("v")))
+    asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0)
+    width = max(1, rows.agg(F.max(F.size("v"))).first()[0] or 1)
+    index = impact_index(rows, width, block, levels)
+    chunks = max(1, -(-asked.count() // chunk))
+
+    def gather(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([{"c": int(key[0]), "ids": f["vec_id"].to_numpy(np.int64).tobytes(), "rows": f["rid"].to_numpy(np.int64).tobytes(), "x": _pack(_matrix(f["v"], width))}])
+
+    queries = asked.withColumn("c", F.pmod(F.xxhash64("rid", F.lit(1)), F.lit(chunks)).cast("long"))
+    queries = keep(queries.groupBy("c").applyInPandas(gather, "c long, ids binary, rows binary, x binary"))
+    numbers = index.select("b").withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
+    left = numbers.join(index, "b").select("b", "c", *_INDEX)
+    right = numbers.toDF("b", "c").join(queries, "c").select("b", "c", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("x").alias("q_x"))
+
+    def search(blocks: pd.DataFrame, chunks_: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(candidate) and len(query):
-            ids, x, qs = candidate["vec_id"].to_numpy(), _matrix(candidate["v"], width), _matrix(query["v"], width)
-            low, high = x.min(0), x.max(0)
-            step = np.maximum((high - low + 1) / levels, 1e-9)
-            code = np.minimum(((x - low) / step).astype(np.int64), levels - 1)
-            index = ((code + np.arange(width) * levels).astype(np.int32), step, low, levels)
-            for own, qid, w in zip(query["vec_id"], query["qid"], qs, strict=True):
-                at, score = _top_of_block(ids, x, w, own, index, k)
-                out.append(pd.DataFrame({"qid": qid, "query_id": own, "vec_id": ids[at], "score": score.astype(np.int64)}))
-        return pd.concat(out) if out else pd.DataFrame({"qid": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
-
-    found = c.groupBy("c", "b").cogroup(q.groupBy("c", "b")).applyInPandas(search, "qid long, query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id"))
+        for stored in blocks.to_dict("records"):
+            own = Segments.load(stored, levels)
+            for c in chunks_.itertuples():
+                for i, r, q in zip(np.frombuffer(c.q_ids, np.int64).tolist(), np.frombuffer(c.q_rows, np.int64).tolist(), _unpack(c.q_x, width), strict=True):
+                    at, score, _ = own.top(q, r, k)
+                    out.append(np.stack([np.full(len(at), r), np.full(len(at), i), own.ids[at], score.astype(np.int64)], 1))
+        return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 4), np.int64), columns=["rid", "query_id", "vec_id", "score"])
+
+    found = left.groupBy("b", "c").cogroup(right.groupBy("b", "c")).applyInPandas(search, "rid long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("rid").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
