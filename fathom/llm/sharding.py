@@ -2,8 +2,9 @@
 
 Rows of equal text form one group, which is never split. Groups stand in the order of their digest. The smallest
 feasible capacity of a shard is found by binary search; each guess is checked greedily; the cuts are those of the
-smallest. Prefix sums over buckets of the digest (a fixed number of them) bound where each cut can fall; single
-groups are fetched only for the few buckets that can hold a cut, so the driver sees a bounded table at any size.
+smallest. Prefix sums over buckets of the digest (its first digits) bound where each cut can fall. A bucket that can hold
+a cut is looked into by its next digits, until few groups are left, so that every table the driver sees is bounded at any
+size: by 16 to the power of the digits of a step, or by ``FEW`` groups.
 """
 
 from __future__ import annotations
@@ -23,39 +24,50 @@ def _digest(text: Column) -> Column:
     return F.md5(F.encode(text, "UTF-8"))
 
 
-def cuts(buckets: dict[int, int], largest: int, shards: int, fetch: Callable[[int], list[tuple[str, int]]]) -> list[str]:
+FEW = 4096
+
+Bucket = tuple[str, int, int]  # first digits of the digest, bytes, groups
+
+
+def cuts(buckets: list[Bucket], largest: int, shards: int, fetch: Callable[[str, int], list[Bucket]]) -> list[str]:
     """The digest with which each shard but the first begins ("g", past every digest, for shards that stay empty).
 
-    ``buckets``: bytes by bucket; ``fetch`` gives a bucket's ordered (digest, bytes), and is called only for buckets
-    in which a guess has a cut: at most ``shards`` for each step of the binary search.
+    ``buckets``: ordered; ``fetch`` gives what a bucket of so many groups holds, ordered by longer digits (whole digests
+    of one group each in the end), and is called only for buckets in which a guess has a cut: at most ``shards`` at each
+    depth for each step of the binary search.
     """
-    order = sorted(buckets)
-    sums = [0, *accumulate(buckets[b] for b in order)]
-    known: dict[int, tuple[list[str], list[int]]] = {}
-
-    def within(i: int) -> tuple[list[str], list[int]]:
-        if i not in known:
-            groups = fetch(order[i])
-            known[i] = [d for d, _ in groups], [*accumulate(n for _, n in groups)]
-        return known[i]
+    known: dict[str, tuple[list[Bucket], list[int]]] = {"": (buckets, [0, *accumulate(n for _, n, _ in buckets)])}
+    total = known[""][1][-1]
+
+    def cut(goal: int) -> tuple[str, int]:
+        """The first group that ends past ``goal`` bytes, and the bytes before it."""
+        prefix, base = "", 0
+        while True:
+            inside, sums = known[prefix]
+            i = bisect_right(sums, goal - base) - 1
+            name, _, groups = inside[i]
+            base += sums[i]
+            if len(name) == 32:
+                return name, base
+            if name not in known:
+                below = fetch(name, groups)
+                known[name] = below, [0, *accumulate(n for _, n, _ in below)]
+            prefix = name
 
     def greedy(capacity: int) -> tuple[bool, list[str]]:
         """Whether that capacity is enough, and the first digest after each shard."""
-        begins, done = [], 0
+        begins: list[str] = []
+        done = 0
         for _ in range(shards):
-            goal = done + capacity
-            if goal >= sums[-1]:
+            if done + capacity >= total:
                 return True, begins + ["g"] * (shards - 1 - len(begins))
-            i = bisect_right(sums, goal) - 1
-            digests, upto = within(i)
-            j = bisect_right(upto, goal - sums[i])
-            begins.append(digests[j])
-            done = sums[i] + (upto[j - 1] if j else 0)
+            name, done = cut(done + capacity)
+            begins.append(name)
         return False, begins
 
-    low = max(largest, -(-sums[-1] // shards))
+    low = max(largest, -(-total // shards))
     high = low  # doubling steps above the bound keep guesses, and so the fetched buckets, near the answer
-    step = max(1, sums[-1] >> 16)
+    step = max(1, total >> 16)
     while not greedy(high)[0]:
         low, high, step = high + 1, high + step, step * 2
     while low < high:
@@ -74,7 +86,6 @@ def shard(docs: DataFrame, shards: int = 8, bucket_digits: int = 4, id_col: str
     digest of the empty text stands. Repeated rows each take a slot. An empty table gives no rows. Other columns
     are not read, whatever their names.
     """
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = keep(
         docs.select(F.col(id_col).alias("doc_id"), text.alias("_t")).select(
@@ -82,21 +93,27 @@ def shard(docs: DataFrame, shards: int = 8, bucket_digits: int = 4, id_col: str
             (F.octet_length("_t") + 1).cast("long").alias("size"),
             F.crc32(F.encode("_t", "UTF-8")).alias("text_crc32"),
             _digest(F.col("_t")).alias("digest"),
+            F.monotonically_increasing_id().alias("deal"),  # stored, so that rows that repeat are dealt over the parts
         )
     )
-    bucket = F.conv(F.substring("digest", 1, bucket_digits), 16, 10).cast("int")
-    groups = keep(rows.groupBy("digest").agg(F.sum("size").alias("bytes")).withColumn("bucket", bucket))
-    coarse = {r["bucket"]: (r["bytes"], r["top"]) for r in groups.groupBy("bucket").agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("top")).collect()}
+    groups = keep(rows.groupBy("digest").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")))
+
+    def below(held: DataFrame, digits: int) -> list[Bucket]:
+        """What the groups hold, by the first digits of their digest."""
+        name = F.substring("digest", 1, digits).alias("name")
+        return sorted(map(tuple, held.groupBy(name).agg(F.sum("bytes"), F.count("*")).collect()))
 
-    def fetch(number: int) -> list[tuple[str, int]]:
-        return sorted((r["digest"], r["bytes"]) for r in groups.filter(F.col("bucket") == number).select("digest", "bytes").collect())
+    def fetch(prefix: str, many: int) -> list[Bucket]:
+        return below(groups.filter(F.col("digest").startswith(prefix)), 32 if many <= FEW else len(prefix) + bucket_digits)
 
-    cut_at = cuts({b: n for b, (n, _) in coarse.items()}, max([1, *(t for _, t in coarse.values())]), shards, fetch)
+    largest, count = groups.agg(F.max("bytes"), F.sum("rows")).first()
+    cut_at = cuts(below(groups, bucket_digits), largest or 1, shards, fetch)
+    parts = min(1 << 16, max(512, (count or 0) // 100_000))
     number = F.lit(0)
     for c in cut_at:
         number = number + F.when(F.col("digest") >= F.lit(c), 1).otherwise(0)
-    placed = rows.withColumn("shard", number.cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(512)).cast("int"))
-    # slots: each part numbers its own rows; the parts' counts (512 x shards at most) give where each begins
+    placed = rows.withColumn("shard", number.cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id", "deal"), F.lit(parts)).cast("int"))
+    # slots: each part numbers its own rows; the parts' counts (2**16 x shards at most) give where each begins
     counts = placed.groupBy("shard", "part").count()
     begin = counts.withColumn("base", F.sum("count").over(Window.partitionBy("shard").orderBy("part")) - F.col("count")).drop("count")
     within = F.row_number().over(Window.partitionBy("part", "shard").orderBy("digest", "doc_id")) - 1
