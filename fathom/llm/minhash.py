@@ -11,6 +11,9 @@ which is the plain Jaccard similarity where all weights are equal. Registers are
 a band are compared with the band's smallest member first, verified exactly, and joined into components. In bands that
 still hold several components, members outside the main one look for missing links, nearest first, in blocks inside
 tasks; only verified links that join something leave a task, so a group never turns into all its pairs.
+
+Texts are told apart by 64 bits of a hash, and shingles in the comparison by 32: among 10**9 different texts 0.03 pairs
+are expected to meet by chance, and two different texts of 1,000 shingles to share 0.0002 shingles more than they do.
 """
 
 from __future__ import annotations
@@ -134,10 +137,8 @@ def _packs(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _verify(pairs: DataFrame, packs: DataFrame, similar: float) -> DataFrame:
     """Those (a, b) whose exact similarity reaches the threshold. Members travel to their centre b; a centre with many
     members is dealt over several groups."""
-    spark = pairs.sparkSession
     pairs = keep(pairs)
-    heavy = {r["b"]: -(-r["count"] // 128) for r in pairs.groupBy("b").count().filter("count > 128").collect()}
-    many = F.broadcast(spark.createDataFrame(sorted(heavy.items()), "b long, groups int"))
+    many = pairs.groupBy("b").count().filter("count > 128").select("b", F.ceil(F.col("count") / 128).cast("int").alias("groups"))
     pairs = pairs.join(many, "b", "left").select("a", "b", F.coalesce("groups", F.lit(1)).alias("groups"))
     a = packs.toDF("a", "pack").join(pairs, "a").select("b", F.pmod(F.xxhash64("a"), "groups").cast("int").alias("g"), "a", "pack")
     b = packs.toDF("b", "pack").join(pairs.select("b", "groups").distinct(), "b").select("b", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("g"), F.col("pack"))
