@@ -325,11 +325,18 @@ def least_capacity(sizes, shards):
 def test_cuts_are_minimal():
     rng = random.Random(7)
     for n, shards in ((1, 3), (5, 3), (40, 4), (200, 8)):
-        groups = sorted((f"{rng.randrange(1 << 32):08x}", rng.choice([1, 5, 90, rng.randrange(1, 50)])) for _ in range(n))
-        buckets = {}
-        for d, s in groups:
-            buckets.setdefault(int(d[:2], 16), []).append((d, s))
-        begins = sharding.cuts({b: sum(s for _, s in g) for b, g in buckets.items()}, max(s for _, s in groups), shards, lambda b, own=buckets: own[b])
+        groups = sorted((f"{rng.randrange(1 << 128):032x}", rng.choice([1, 5, 90, rng.randrange(1, 50)])) for _ in range(n))
+
+        def below(prefix, digits, own=groups):
+            out = {}
+            for d, s in own:
+                if d.startswith(prefix):
+                    b, k = out.get(d[:digits], (0, 0))
+                    out[d[:digits]] = b + s, k + 1
+            return [(d, b, k) for d, (b, k) in sorted(out.items())]
+
+        # one digit at a time while a bucket holds several groups
+        begins = sharding.cuts(below("", 1), max(s for _, s in groups), shards, lambda p, many, below=below: below(p, 32 if many <= 2 else len(p) + 1))
         loads = [0] * shards
         for d, s in groups:
             loads[sum(d >= c for c in begins)] += s
