@@ -231,39 +231,38 @@ class Segments:
         self.levels = levels
         self.ids, self.rows, self.begin = (np.frombuffer(stored[k], np.int64) for k in ("ids", "rows", "begin"))
         self.low, self.step = np.frombuffer(stored["low"], float), np.frombuffer(stored["step"], float)
-        self.x, self.postings = _unpack(stored["x"], len(self.low)), np.frombuffer(stored["postings"], np.uint16)
+        self.x, self.postings = _unpack(stored["x"], len(self.low)), np.frombuffer(stored["postings"], np.uint16).astype(np.int64)
         return self
 
     def top(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """The k best rows but ``own`` for one query, their exact scores, and how many segments were taken.
 
         Segments are processed by descending impact, each crediting its postings. After every sixteenth part of them the
-        leading rows are scored exactly, and the k-th best of these bounds the answer from below. What a row has
-        gathered, plus what each component's segments still to come can give (or, if its own has come, the width of a
-        level), bounds it from above. Processing stops when the rows that can still belong to the answer are few, which
-        proves that all others do not, or when no segment is left; those rows are scored exactly."""
+        leading rows are scored exactly, and the k-th best of these bounds the answer from below. A row is bounded from
+        above by what it has gathered, the widths of the levels, and the impact of the next segment for each component
+        of which its own segment has not come. Processing stops when the rows that can still belong to the answer are
+        few, which proves that all others do not, or when no segment is left; those rows are scored exactly."""
         n, levels = self.x.shape[0], self.levels
         d_of, level = np.divmod(np.arange(len(self.low) * levels), levels)
         worth = (np.abs(q) * self.step)[d_of]
-        height = np.where(q[d_of] >= 0, level, levels - 1 - level)
-        impact = worth * height
+        impact = worth * np.where(q[d_of] >= 0, level, levels - 1 - level)
         order = np.argsort(-impact, kind="stable")
         order = order[(impact[order] > 0) & (self.begin[order + 1] > self.begin[order])]
-        worst = float((q * np.where(q >= 0, self.low, self.low + self.step * levels)).sum())
-        frontier = np.abs(q) * self.step * levels
-        gathered = np.zeros(n)
+        worst = float((q * np.where(q >= 0, self.low, self.low + self.step * levels)).sum()) + float((np.abs(q) * self.step).sum())
+        gathered, open_ = np.zeros(n), np.full(n, len(self.low))
         possible = np.flatnonzero(self.rows != own)
-        few, batch, taken = max(4 * k, n // 16), max(1, -(-len(order) // 16)), 0
+        few, batch, taken = max(4 * k, n // 8), max(1, -(-len(order) // 16)), 0
         while len(possible) > few and taken < len(order):
             some = order[taken : taken + batch]
             taken += len(some)
-            for s, credit in zip(some.tolist(), impact[some].tolist(), strict=True):
-                gathered[self.postings[self.begin[s] : self.begin[s + 1]]] += credit
-            np.minimum.at(frontier, d_of[some], (worth * np.maximum(1, height))[some])
+            posted = np.concatenate([self.postings[a:b] for a, b in zip(self.begin[some].tolist(), self.begin[some + 1].tolist(), strict=True)])
+            gathered += np.bincount(posted, np.repeat(impact[some], self.begin[some + 1] - self.begin[some]), n)
+            open_ -= np.bincount(posted, minlength=n)
+            next_ = impact[order[taken]] if taken < len(order) else 0.0
             held = gathered[possible]
             lead = possible[np.argpartition(held, -2 * k)[-2 * k :]]
             best = np.partition(self.x[lead] @ q, -k)[-k]
-            possible = possible[held + frontier.sum() + worst + 1e-6 * (1 + abs(best)) >= best]
+            possible = possible[held + open_[possible] * next_ + worst + 1e-6 * (1 + abs(best)) >= best]
         score = self.x[possible] @ q
         best = np.lexsort((self.ids[possible], -score))[:k]
         return possible[best], score[best], taken
@@ -288,7 +287,7 @@ def impact_index(rows: DataFrame, width: int, block: int, levels: int) -> DataFr
     return keep(dealt.groupBy("b").applyInPandas(build, "b long, " + ", ".join(f"{c} binary" for c in _INDEX)))
 
 
-def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, block: int = 8192, chunk: int = 8192, levels: int = 16, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256, block: int = 16_384, chunk: int = 8192, levels: int = 32, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k best inner products of floor(scale * x) for each row whose id is divisible
     by ``every``, against all other rows; ties go to the smaller id.
 
