@@ -43,20 +43,30 @@ def xyz(cv: Column | str) -> Column:
     return F.when(c < 0.5, "X").when(c <= 1.0, "Y").otherwise("Z")
 
 
-def moments(df: DataFrame, value: str) -> DataFrame:
-    """Mean, median, deviation, bias-corrected skewness and excess kurtosis, quartiles and values beyond the fences.
+def quantiles(df: DataFrame, value: str, shares: Sequence[float]) -> DataFrame:
+    """One row (q0, q1, ...) of exact, interpolated quantiles: running counts over distinct values go by ranges, so no
+    task holds all values."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    placed = running(counts, "v", "n")
+    at = lambda place: F.max(F.when((F.col("upto") - F.col("n") <= place) & (place < F.col("upto")), F.col("v")))
+    ends = [e for k, s in enumerate(shares) for e in (at(F.floor((F.col("total") - 1) * s)).alias(f"a{k}"), at(F.ceil((F.col("total") - 1) * s)).alias(f"b{k}"))]
+    one = placed.agg(F.max("total").alias("total"), *ends)
+    share = lambda s: (F.col("total") - 1) * s - F.floor((F.col("total") - 1) * s)
+    return one.select(*[(F.col(f"a{k}") + (F.col(f"b{k}") - F.col(f"a{k}")) * share(s)).alias(f"q{k}") for k, s in enumerate(shares)])
+
 
-    The fences come from one pass with exact percentiles; a second pass counts what lies beyond them."""
+def moments(df: DataFrame, value: str) -> DataFrame:
+    """Mean, median, deviation, bias-corrected skewness and excess kurtosis, quartiles and values beyond the fences."""
     c = F.col(value).cast("double")
     n, g, k = F.count(c), F.skewness(c), F.kurtosis(c)
     base = df.agg(
-        n.alias("n"), F.avg(c).alias("mean"), F.percentile(c, F.lit(0.5)).alias("median"), F.stddev_samp(c).alias("std"),
+        n.alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
         (g * F.sqrt(n * (n - 1.0)) / (n - 2)).alias("skew"), (((n + 1) * k + 6) * (n - 1) / ((n - 2.0) * (n - 3))).alias("kurtosis"),
-        F.percentile(c, F.lit(0.25)).alias("q1"), F.percentile(c, F.lit(0.75)).alias("q3"),
     )
+    q = quantiles(df, value, (0.25, 0.5, 0.75)).toDF("q1", "median", "q3")
     fence = 1.5 * (F.col("q3") - F.col("q1"))
-    beyond = df.select(c.alias("_v")).crossJoin(F.broadcast(base)).filter((F.col("_v") < F.col("q1") - fence) | (F.col("_v") > F.col("q3") + fence)).agg(F.count("*").alias("outliers"))
-    return base.crossJoin(beyond)
+    beyond = df.select(c.alias("_v")).crossJoin(F.broadcast(q)).filter((F.col("_v") < F.col("q1") - fence) | (F.col("_v") > F.col("q3") + fence)).agg(F.count("*").alias("outliers"))
+    return base.crossJoin(q).crossJoin(beyond)
 
 
 def mode_of(df: DataFrame, keys: Sequence[str], column: str, into: str) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from html import unescape
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Date patterns in the order in which they are tried.
 DATE_PATTERNS = ("yyyy-M-d", "M-d-yyyy", "yyyy/M/d", "M/d/yyyy", "d-MMM-yyyy", "d-MMM-yy")
@@ -32,6 +35,32 @@ def relabel(df: DataFrame, column: str, drop: Sequence[str], names: Mapping[str,
     return kept.withColumn(column, renamed.otherwise(F.col(column)))
 
 
+def without_values(column: str, values: Sequence[str]) -> Column:
+    """The column with listed values (case and outer space do not count) as null; rows stay."""
+    return F.when(~F.lower(F.trim(column)).isin([v.lower() for v in values]), F.col(column))
+
+
+def fact_rows(df: DataFrame, allowed: Mapping[str, Sequence[str]], reason: tuple[str, Sequence[str]], present: str, dates: tuple[str, str], years: tuple[int, int], known: tuple[str, DataFrame]) -> DataFrame:
+    """Rows that may enter the fact table: values allowed in every listed column (upper case, trimmed), a reason that is
+    null, NA or listed, a value in ``present``, no start before the submission (null submissions pass), a start in the
+    years, and a key that the dimension (one column of the same name) knows."""
+    for c, values in allowed.items():
+        df = df.filter(F.upper(F.trim(c)).isin(list(values)))
+    why, reasons = reason
+    start, submitted = dates
+    df = df.filter(F.col(why).isNull() | F.trim(why).isin(["NA", *reasons])).filter(F.col(present).isNotNull())
+    df = year_between(df.filter(F.col(submitted).isNull() | (F.col(start) >= F.col(submitted))), start, *years)
+    return df.join(known[1].select(known[0]).distinct(), known[0], "left_semi")
+
+
+def matches(row: str | Column, wanted: Mapping[str, Sequence[str]]) -> Column:
+    """Whether a map of texts has one of the wanted values under every key, whatever the case; a key that the row lacks
+    passes."""
+    m = F.col(row) if isinstance(row, str) else row
+    each = [F.coalesce(F.lower(F.try_element_at(m, F.lit(k))).isin([v.lower() for v in values]), F.lit(True)) for k, values in wanted.items()]
+    return reduce(lambda a, b: a & b, each, F.lit(True))
+
+
 def parse_date(column: str | Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
     """The first pattern that reads the text gives the date; null if none does."""
     text = F.trim(F.col(column) if isinstance(column, str) else column)
@@ -115,13 +144,15 @@ def optional_filters(df: DataFrame, **wanted: str | None) -> DataFrame:
     return reduce(lambda d, kv: d.filter(F.upper(kv[0]) == kv[1].upper()) if kv[1] is not None else d, wanted.items(), df)
 
 
-#: The five predefined XML entities, and the non-breaking space.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+@F.pandas_udf(StringType())
+def _decoded(text: pd.Series) -> pd.Series:
+    return text.map(unescape, na_action="ignore")
 
 
 def unescaped(column: str | Column) -> Column:
-    """The common character references decoded, the ampersand last."""
-    return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), ENTITIES.items(), F.col(column) if isinstance(column, str) else column)
+    """All character references decoded, named and numeric ones; only texts with an ampersand leave the JVM's path."""
+    c = F.col(column) if isinstance(column, str) else column
+    return F.when(F.contains(c, F.lit("&")), _decoded(c)).otherwise(c)
 
 
 def requirement_type(column: str) -> Column:

@@ -66,3 +66,28 @@ def scenario(df: DataFrame, value: str, bu: float = 0, market: float = 0, win: f
     rest = [c for c in df.columns if c != value]
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("amount")) for k, v in (("baseline", base), ("scenario", new), ("adjustment", new - base))])
     return df.select(*rest, F.explode(kinds).alias("x")).select(*rest, "x.kind", "x.amount")
+
+
+def sections(summary: DataFrame, value: str, individual: int, others: int, keys: Sequence[str]) -> DataFrame:
+    """``summary`` with the section of each group by its place in ``value``: individual, global or remainder."""
+    top = summary.orderBy(F.desc(value), *keys).limit(individual + others).withColumn("_m", -F.col(value))
+    placed = top.agg(F.array_sort(F.collect_list(F.struct("_m", *keys))).alias("a")).select(F.posexplode("a").alias("_place", "x")).select("_place", *[f"x.{k}" for k in keys])
+    section = F.when(F.col("_place") < individual, "Individual").when(F.col("_place").isNotNull(), "Global").otherwise("Remainder")
+    return summary.join(F.broadcast(placed), list(keys), "left").withColumn("section", section).drop("_place")
+
+
+def late_bias(df: DataFrame, keys: Sequence[str], first: int = 3, last: int = 6) -> DataFrame:
+    """(keys, late): what is wrong with the late horizons: low visibility where a prediction is missing or the mean
+    absolute error is over half, else over- or underprediction by 15 % on the mean, else none."""
+    inside = df.filter(F.col("h").between(first, last) & (F.col("actual") > 0))
+    e = (F.col("predicted") - F.col("actual")) / F.col("actual")
+    g = inside.groupBy(*keys).agg(F.count_if(F.col("predicted") < 1e-6).alias("_none"), F.avg(F.abs(e)).alias("_abs"), F.avg(e).alias("_mean"))
+    low = (F.col("_none") >= 1) | (F.col("_abs") > 0.5)
+    late = F.when(low, "low visibility").when(F.col("_mean") < -0.15, "underprediction").when(F.col("_mean") > 0.15, "overprediction").otherwise("none")
+    return df.select(*keys).distinct().join(g.withColumn("late", late).drop("_none", "_abs", "_mean"), list(keys), "left").withColumn("late", F.coalesce("late", F.lit("none")))
+
+
+def rescaled(df: DataFrame, parts: Sequence[str], before: str, after: str) -> DataFrame:
+    """Parts of a value scaled by what its correction did to it; unchanged where it was 0."""
+    factor = F.when(F.col(before) > 0, F.col(after) / F.col(before)).otherwise(1.0)
+    return df.withColumns({p: F.col(p) * factor for p in parts})

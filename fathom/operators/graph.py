@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fathom.sources.files import stored
+
 
 def pair_counts(df: DataFrame, skills: str) -> DataFrame:
     """(a, b, n) with a < b: rows that hold both. Pairs are made inside a row's own list, so only the counts shuffle."""
@@ -42,25 +44,28 @@ def triangles(edges: DataFrame) -> DataFrame:
     return closed.select(t[0].alias("x"), t[1].alias("y"), t[2].alias("z"))
 
 
-def connected(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(node, root): the smallest node reachable, by passing minima along edges; rounds end when nothing changes. Each
-    round is checkpointed where a checkpoint folder is set."""
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().cache()
-    spark = edges.sparkSession
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where:
-        spark.sparkContext.setCheckpointDir(where)
-    safe = bool(where)
-    now = both.select(F.col("a").alias("node")).distinct().withColumn("root", F.col("node"))
-    for _ in range(rounds):
-        heard = both.join(now, both["b"] == now["node"]).groupBy("a").agg(F.min("root").alias("heard"))
-        new = now.join(heard, now["node"] == heard["a"]).select("node", F.least("root", "heard").alias("root"), (F.col("heard") < F.col("root")).alias("changed"))
-        new = new.checkpoint() if safe else new.cache()
-        moved = new.filter("changed").limit(1).count()
-        now = new.select("node", "root")
-        if not moved:
+def connected(edges: DataFrame) -> DataFrame:
+    """(node, root): the smallest node reachable, for every end of an edge.
+
+    Every node keeps pointers to smaller nodes of its component. A round hands the smallest of a node's pointers to all
+    its neighbours, then leaves each node one pointer to the smallest it knows and ties the others to that; chains
+    shorten by squaring, so rounds grow with the logarithm of the depth. Rounds end when every node points to a root and
+    roots point nowhere; each round is stored in the shared folder."""
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    down = lambda x, y: (F.greatest(x, y).alias("node"), F.least(x, y).alias("to"))
+    now = stored(edges.filter("a <> b").select(*down("a", "b")).distinct())
+    while True:
+        several = now.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
+        hanging = now.join(now.select(F.col("node").alias("to")).distinct(), "to", "left_semi")
+        if several.isEmpty() and hanging.isEmpty():
             break
-    return now
+        both = now.union(now.select("to", "node"))
+        least = both.groupBy("node").agg(F.min("to").alias("least")).select("node", F.least("node", "least").alias("least"))
+        wide = stored(both.join(least, "node").filter("to > node").select(F.col("to").alias("node"), F.col("least").alias("to")).filter("node <> to").distinct())
+        lowest = wide.groupBy("node").agg(F.min("to").alias("least"))
+        tied = wide.join(lowest, "node")
+        now = stored(tied.select("node", F.col("least").alias("to")).union(tied.filter("to <> least").select("to", "least")).distinct())
+    return ends.join(now, "node", "left").select("node", F.coalesce("to", "node").alias("root"))
 
 
 def graph_stats(edges: DataFrame, roots: DataFrame) -> DataFrame:

@@ -74,3 +74,8 @@ def compared(a: DataFrame, b: DataFrame, keys: Sequence[str], value: str, names:
 def preferred(first: DataFrame, second: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of ``first`` and those of ``second`` whose key it lacks."""
     return first.unionByName(second.join(first.select(*keys).distinct(), list(keys), "left_anti"), allowMissingColumns=True)
+
+
+def looked_up(df: DataFrame, table: DataFrame, keys: Sequence[str], value: str, default: float | int = 0) -> DataFrame:
+    """The table's value at the row's keys (a point in time among them), or the default."""
+    return df.join(table.select(*keys, value), list(keys), "left").withColumn(value, F.coalesce(value, F.lit(default)))

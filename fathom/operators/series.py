@@ -11,13 +11,16 @@ from pyspark.sql.window import Window
 from fathom.functions.dates import month_index
 
 
-def spine(df: DataFrame, keys: Sequence[str], date: str, value: Column, first: int, last: int) -> DataFrame:
-    """(keys, t, value) for every month index from ``first`` to ``last``; months without rows have 0.
+def spine(df: DataFrame, keys: Sequence[str], date: str, value: Column) -> DataFrame:
+    """(keys, t, value) for every month index from the table's first to its last; months without rows have 0.
 
-    One shuffle by group: months are summed, gathered into a map of at most last - first + 1 entries, and spread."""
-    months = df.withColumn("t", month_index(date)).filter(F.col("t").between(first, last)).groupBy(*keys, "t").agg(value.alias("value"))
+    One shuffle by group: months are summed, gathered into a map of one entry a month, and spread over the range that
+    one aggregate of the same sums tells."""
+    months = df.filter(F.col(date).isNotNull()).groupBy(*keys, month_index(date).alias("t")).agg(value.alias("value"))
+    bounds = months.agg(F.min("t").alias("_first"), F.max("t").alias("_last"))
     held = months.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("t", F.col("value").cast("double")))).alias("m"))
-    return held.select(*keys, F.explode(F.sequence(F.lit(first), F.lit(last))).alias("t"), "m").select(*keys, "t", F.coalesce(F.try_element_at("m", F.col("t")), F.lit(0.0)).alias("value"))
+    spread = held.crossJoin(F.broadcast(bounds)).select(*keys, F.explode(F.sequence("_first", "_last")).alias("t"), "m")
+    return spread.select(*keys, "t", F.coalesce(F.try_element_at("m", F.col("t")), F.lit(0.0)).alias("value"))
 
 
 def _w(keys: Sequence[str]) -> Window:
@@ -144,3 +147,37 @@ def tail_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], share:
     """Marks the last share of each group's rows in time as validation."""
     w = Window.partitionBy(*keys)
     return df.withColumn("is_validation", (F.row_number().over(w.orderBy(*order)) > F.count("*").over(w) * (1 - share)).cast("int"))
+
+
+def totals_before(events: DataFrame, points: DataFrame, keys: Sequence[str], date: str, cutoff: str) -> DataFrame:
+    """(keys, cutoff, total): events of the group before each cutoff, from one running count over merged days."""
+    e = events.groupBy(*keys, F.col(date).alias("_day")).agg(F.count("*").alias("_n")).withColumn("_point", F.lit(1))
+    p = points.select(*keys, F.col(cutoff).alias("_day")).distinct().withColumn("_n", F.lit(0).cast("long")).withColumn("_point", F.lit(0))
+    w = Window.partitionBy(*keys).orderBy("_day", "_point").rowsBetween(Window.unboundedPreceding, 0)
+    return e.unionByName(p).withColumn("total", F.sum("_n").over(w)).filter("_point = 0").select(*keys, F.col("_day").alias(cutoff), "total")
+
+
+def targets(events: DataFrame, points: DataFrame, keys: Sequence[str], date: str, cutoff: str, horizon: str, least: int = 3) -> DataFrame:
+    """``points`` (keys, cutoff, months ahead) with the events of the month meant. Months past the data's last go; groups
+    need ``least`` events in all, and as many before the cutoff."""
+    last = events.agg(F.trunc(F.max(date), "month").alias("_last"))
+    monthly = events.groupBy(*keys, F.trunc(date, "month").alias("month")).agg(F.count("*").alias("target"))
+    big = events.groupBy(*keys).agg(F.count("*").alias("_all")).filter(F.col("_all") >= least).select(*keys)
+    enough = totals_before(events, points, keys, date, cutoff).filter(F.col("total") >= least).select(*keys, cutoff)
+    p = points.join(enough, [*keys, cutoff]).join(big, list(keys), "left_semi").withColumn("month", F.trunc(F.add_months(cutoff, F.col(horizon)), "month"))
+    p = p.crossJoin(F.broadcast(last)).filter("month <= _last").drop("_last")
+    return p.join(monthly, [*keys, "month"], "left").withColumn("target", F.coalesce("target", F.lit(0)))
+
+
+def count_slope(events: DataFrame, keys: Sequence[str], date: str, cutoff: str, days: int = 90) -> DataFrame:
+    """(keys, slope): least-squares slope of the running event count over days, in the window before the cutoff; 0 with
+    fewer than two days. Events of a day take places in a row, so sums by day are enough."""
+    inside = events.filter((F.col(date) < F.lit(cutoff)) & (F.col(date) >= F.date_sub(F.lit(cutoff).cast("date"), days)))
+    daily = inside.groupBy(*keys, F.col(date).alias("_d")).agg(F.count("*").alias("_n")).withColumn("_x", F.datediff("_d", F.lit("1970-01-01")).cast("double"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_x")) - F.col("_n")
+    y = daily.withColumn("_sy", F.col("_n") * before + F.col("_n") * (F.col("_n") - 1) / 2.0)  # the sum of the day's places
+    x0 = F.min("_x").over(Window.partitionBy(*keys))
+    y = y.withColumn("_x", F.col("_x") - x0)
+    n, sx, sy = F.sum("_n"), F.sum(F.col("_n") * F.col("_x")), F.sum("_sy")
+    sxy, sxx = F.sum(F.col("_x") * F.col("_sy")), F.sum(F.col("_n") * F.col("_x") * F.col("_x"))
+    return y.groupBy(*keys).agg(F.coalesce(F.try_divide(sxy - sx * sy / n, sxx - sx * sx / n), F.lit(0.0)).alias("slope"))

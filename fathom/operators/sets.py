@@ -28,6 +28,17 @@ def normalised(df: DataFrame, row: str, skills: str, dictionary: DataFrame, elim
     return out
 
 
+def in_order(df: DataFrame, row: str, skills: str, dictionary: DataFrame) -> DataFrame:
+    """(row, skills): trimmed tokens by their canonical name (exact variants, canonical names among them), each once, in
+    the order of its first token; blank tokens go. The dictionary (variant, canonical) is joined by size."""
+    one = dictionary.groupBy("variant").agg(F.min("canonical").alias("canonical"))
+    flat = df.select(row, F.posexplode_outer(skills).alias("_at", "_t")).withColumn("variant", F.trim("_t"))
+    named = flat.join(one, "variant", "left").withColumn("_n", F.when(F.col("variant") != "", F.coalesce("canonical", "variant")))
+    first = named.groupBy(row, "_n").agg(F.min("_at").alias("_at"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("_n").isNotNull(), F.struct("_at", "_n"))))
+    return first.groupBy(row).agg(F.transform(listed, lambda x: x["_n"]).alias(skills))
+
+
 def skill_counts(df: DataFrame, skills: str, by: Sequence[str] = ()) -> DataFrame:
     """Rows that hold each skill."""
     return df.select(*by, F.explode(F.array_distinct(skills)).alias("skill")).groupBy(*by, "skill").agg(F.count("*").alias("n"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -45,3 +45,30 @@ def predictions_from_json(payload: DataFrame, column: str, dims: Mapping[str, tu
     kind = "array<struct<bu:string,cluster:string,country:string,horizon:int,predicted:double>>"
     rows = payload.select(F.explode(F.from_json(column, kind)).alias("r")).select("r.*")
     return resolved(rows, dims)
+
+
+def seeded(dim: DataFrame, rows: Sequence[tuple], schema: str, parents: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """A dimension with seed rows that it lacks (by its first column); each name among ``parents`` (table, its name
+    column, its id) becomes the parent's id."""
+    seeds = dim.sparkSession.createDataFrame(list(rows), schema)
+    for name, (table, by, key) in parents.items():
+        seeds = seeds.join(table.select(F.col(by).alias(name), F.col(key).alias(f"{name}_id")), name, "left").drop(name)
+    return with_missing(dim, seeds.select(*dim.columns), [dim.columns[0]])
+
+
+def orchestrated(steps: Sequence[tuple[str, Callable[[], DataFrame]]], spark: SparkSession) -> DataFrame:
+    """(position, step, status, rows_out) of steps run one after another; after a failed step the others are skipped.
+
+    A step's rows are counted by its own job; this is a log of a few lines and no data pass through the driver."""
+    log: list[tuple[int, str, str, int | None]] = []
+    failed = False
+    for k, (name, step) in enumerate(steps):
+        if failed:
+            log.append((k, name, "skipped", None))
+            continue
+        try:
+            log.append((k, name, "completed", step().count()))
+        except Exception as e:  # noqa: BLE001 - the log tells it
+            failed = True
+            log.append((k, name, f"failed: {type(e).__name__}", None))
+    return spark.createDataFrame(log, "position int, step string, status string, rows_out long")

@@ -12,7 +12,8 @@ from fathom.functions.dates import month_of_column
 from fathom.operators import graph, model, series
 from fathom.plans.adapt import load, query
 from fathom.plans.q_graph import pairs_lt
-from fathom.plans.q_series import FIRST, KEYS, LAST, monthly
+from fathom.plans.q_series import KEYS, monthly
+from fathom.sources.files import stored
 
 
 def _features(spark: SparkSession, d: str) -> DataFrame:
@@ -20,7 +21,12 @@ def _features(spark: SparkSession, d: str) -> DataFrame:
     s = series.growth(series.moving_averages(monthly(spark, d), KEYS), KEYS)
     w = Window.partitionBy(*KEYS).orderBy("t")
     lagged = s.withColumns({c: F.lag(c).over(w) for c in s.columns if c not in (*KEYS, "t", "value")})
-    return lagged.filter(F.col("t") >= FIRST + 13).withColumn("month", F.pmod("t", F.lit(12)).cast("string")).withColumnRenamed("value", "target")
+    aged = lagged.withColumn("_n", F.row_number().over(w)).filter("_n > 13").drop("_n")
+    return aged.withColumn("month", F.pmod("t", F.lit(12)).cast("string")).withColumnRenamed("value", "target")
+
+
+def _last(f: DataFrame) -> int:
+    return f.agg(F.max("t")).first()[0]
 
 
 NUMERIC = ["sma_3m", "wma_3m", "sma_6m", "sma_12m", "demand_growth_3m", "demand_growth_6m"]
@@ -28,28 +34,32 @@ NUMERIC = ["sma_3m", "wma_3m", "sma_6m", "sma_12m", "demand_growth_3m", "demand_
 
 @query("global_forecast")
 def global_forecast(spark: SparkSession, d: str) -> DataFrame:
-    f = _features(spark, d).cache()
-    m = model.fit_global(f.filter(F.col("t") < LAST - 6), "target", ["bu", "cluster", "month"], NUMERIC)
-    return model.predict(m, f.filter(F.col("t") >= LAST - 6), whole=True).select(*KEYS, "t", "target", "predicted")
+    f = stored(_features(spark, d))
+    last = _last(f)
+    m = model.fit_global(f.filter(F.col("t") < last - 6), "target", ["bu", "cluster", "month"], NUMERIC)
+    return model.predict(m, f.filter(F.col("t") >= last - 6), whole=True).select(*KEYS, "t", "target", "predicted")
 
 
 @query("two_phase_forecast")
 def two_phase_forecast(spark: SparkSession, d: str) -> DataFrame:
-    f = _features(spark, d).cache()
-    m = model.fit_global(f.filter(F.col("t") < LAST - 6), "target", ["bu", "month"], NUMERIC, "poisson")
-    test = f.filter(F.col("t").between(LAST - 6, LAST - 1)).withColumn("h", F.col("t") - (LAST - 6))
+    f = stored(_features(spark, d))
+    last = _last(f)
+    m = model.fit_global(f.filter(F.col("t") < last - 6), "target", ["bu", "month"], NUMERIC, "poisson")
+    test = f.filter(F.col("t").between(last - 6, last - 1)).withColumn("h", F.col("t") - (last - 6))
     return model.two_phase(m, test, KEYS, "h", "sma_3m").select(*KEYS, "h", "predicted")
 
 
 @query("per_group_forecast")
 def per_group_forecast(spark: SparkSession, d: str) -> DataFrame:
-    s = monthly(spark, d).filter(F.col("t") < LAST - 6)
-    return model.per_group_trend(s, KEYS, "t", "value", range(LAST - 6, LAST))
+    s = stored(monthly(spark, d))
+    last = _last(s)
+    s = s.filter(F.col("t") < last - 6)
+    return model.per_group_trend(s, KEYS, "t", "value", range(last - 6, last))
 
 
 @query("feature_importance")
 def feature_importance(spark: SparkSession, d: str) -> DataFrame:
-    f = _features(spark, d).cache()
+    f = stored(_features(spark, d))
     return model.importance(model.fit_global(f, "target", ["bu"], NUMERIC, "poisson"), f, "target", NUMERIC)
 
 

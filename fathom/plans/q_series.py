@@ -10,9 +10,7 @@ from fathom.functions import dates
 from fathom.operators import series
 from fathom.plans.adapt import load, query, service_orders
 
-FIRST, LAST = 1995 * 12, 2001 * 12 + 6  # January 1995 to July 2001
-
-_SPINE = """, g AS (SELECT DISTINCT bu, cluster FROM so), ts AS (SELECT unnest(range(23940, 24019)) AS t),
+_SPINE = """, g AS (SELECT DISTINCT bu, cluster FROM so), ts AS (SELECT unnest(range(a, b + 1)) AS t FROM (SELECT min(year(rsd) * 12 + month(rsd) - 1) AS a, max(year(rsd) * 12 + month(rsd) - 1) AS b FROM so) e),
 c AS (SELECT bu, cluster, year(rsd) * 12 + month(rsd) - 1 AS t, count(*)::DOUBLE AS v FROM so GROUP BY ALL),
 s AS (SELECT g.bu, g.cluster, ts.t, coalesce(v, 0) AS value FROM g CROSS JOIN ts LEFT JOIN c ON c.bu = g.bu AND c.cluster = g.cluster AND c.t = ts.t),
 l AS (SELECT *, """ + ", ".join(f"coalesce(lag(value, {k}) OVER w, 0) AS l{k}" for k in range(1, 25)) + """, row_number() OVER w AS rn FROM s WINDOW w AS (PARTITION BY bu, cluster ORDER BY t))"""
@@ -20,7 +18,7 @@ KEYS = ["bu", "cluster"]
 
 
 def monthly(spark: SparkSession, d: str) -> DataFrame:
-    return series.spine(service_orders(spark, d), KEYS, "rsd", F.count("*"), FIRST, LAST)
+    return series.spine(service_orders(spark, d), KEYS, "rsd", F.count("*"))
 
 
 @query("month_spine", _SPINE + " SELECT bu, cluster, t, value FROM s", orders=True)
@@ -45,12 +43,12 @@ def growth_3_6_9(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "ratio_slope",
-    _SPINE + f""", r AS (SELECT *, ({_sum(1, 4)}) / 3 AS recent, ({_sum(4, 13)}) / 9 AS past, ({_sum(1, 7)}) AS total, (l6 * -2.5 + l5 * -1.5 + l4 * -0.5 + l3 * 0.5 + l2 * 1.5 + l1 * 2.5) / 17.5 AS slope FROM l WHERE rn > 12)
+    _SPINE + f""", r AS (SELECT *, avg(value) OVER (PARTITION BY bu, cluster ORDER BY t ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS recent, avg(value) OVER (PARTITION BY bu, cluster ORDER BY t ROWS BETWEEN 12 PRECEDING AND 4 PRECEDING) AS past, ({_sum(1, 7)}) AS total, (l6 * -2.5 + l5 * -1.5 + l4 * -0.5 + l3 * 0.5 + l2 * 1.5 + l1 * 2.5) / 17.5 AS slope FROM l)
     SELECT bu, cluster, t, round(CASE WHEN past > 0 THEN greatest(0.2, least(5, recent / past)) ELSE 1 END, 5) AS recent_vs_historical_ratio, round(CASE WHEN total >= 5 THEN greatest(-2, least(2, slope / (total / 6))) ELSE 0 END, 5) AS trend_slope_6m FROM r""",
     orders=True,
 )
 def ratio_slope(spark: SparkSession, d: str) -> DataFrame:
-    out = series.ratio_and_slope(monthly(spark, d), KEYS).filter(F.col("t") >= FIRST + 12)
+    out = series.ratio_and_slope(monthly(spark, d), KEYS)
     return out.select(*KEYS, "t", *[F.round(c, 5).alias(c) for c in ("recent_vs_historical_ratio", "trend_slope_6m")])
 
 
@@ -61,14 +59,15 @@ def yoy_growth(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     "bridge_features",
-    _SPINE + " SELECT bu, cluster, t, value AS m0, l1 AS before_1, round((l1 + l2 + l3) / 3, 6) AS before_mean, round(CASE WHEN l1 + l2 + l3 > 0 THEN value / ((l1 + l2 + l3) / 3) ELSE 0 END, 6) AS bridge_ratio FROM l WHERE rn > 3",
+    _SPINE + """, b AS (SELECT *, lag(value) OVER (PARTITION BY bu, cluster ORDER BY t) AS before_1, avg(value) OVER (PARTITION BY bu, cluster ORDER BY t ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS m FROM s)
+    SELECT bu, cluster, t, value AS m0, before_1, round(m, 6) AS before_mean, round(CASE WHEN round(m, 6) > 0 THEN value / round(m, 6) ELSE 0 END, 6) AS bridge_ratio FROM b""",
     orders=True,
 )
 def bridge_features(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy(*KEYS).orderBy("t")
-    mean = F.avg("value").over(w.rowsBetween(-3, -1))
-    out = monthly(spark, d).withColumn("before_1", F.lag("value", 1).over(w)).withColumn("before_mean", mean).filter(F.col("t") >= FIRST + 3)
-    return out.select(*KEYS, "t", F.col("value").alias("m0"), "before_1", F.round("before_mean", 6).alias("before_mean"), F.round(F.when(F.col("before_mean") > 0, F.col("value") / F.col("before_mean")).otherwise(0.0), 6).alias("bridge_ratio"))
+    mean = F.round(F.avg("value").over(w.rowsBetween(-3, -1)), 6)
+    out = monthly(spark, d).withColumn("before_1", F.lag("value", 1).over(w)).withColumn("before_mean", mean)
+    return out.select(*KEYS, "t", F.col("value").alias("m0"), "before_1", "before_mean", F.round(F.when(F.col("before_mean") > 0, F.col("value") / F.col("before_mean")).otherwise(0.0), 6).alias("bridge_ratio"))
 
 
 @query(

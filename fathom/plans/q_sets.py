@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fathom.functions import tokens as tok
 from fathom.operators import sets
+from fathom.operators.aggregate import running
 from fathom.plans.adapt import load, query
 
 _CELLS = """WITH w AS (SELECT DISTINCT l_orderkey AS order_id, unnest(string_split(p_name, ' ')) AS skill FROM lineitem JOIN part ON l_partkey = p_partkey), s AS (SELECT order_id, list_sort(list(skill)) AS skills FROM w GROUP BY ALL),
@@ -138,6 +139,5 @@ def gated_skills(spark: SparkSession, d: str) -> DataFrame:
 
 @query("canonical_frequency", _CELLS + " SELECT skill, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, skill) AS rank FROM w GROUP BY skill")
 def canonical_frequency(spark: SparkSession, d: str) -> DataFrame:
-    counts = skill_counts(spark, d)
-    places = counts.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "skill"))).alias("a")).select(F.posexplode("a").alias("i", "x"))
-    return places.select("x.skill", (-F.col("x.k")).alias("n"), (F.col("i") + 1).cast("long").alias("rank"))
+    ranked = running(skill_counts(spark, d).withColumn("one", F.lit(1)), "n", "one", descending=True, tie="skill")
+    return ranked.select("skill", "n", F.col("upto").cast("long").alias("rank"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,25 @@ from pyspark.sql.types import StructType
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that all executors share (``spark.checkpoint.dir``); a new local one only where that is unset."""
+    """The folder that all executors share (``spark.checkpoint.dir``). On one machine a new local one is set where that
+    is unset; on a cluster that is an error, because executors would write to their own disks."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="fathom-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder and read back: later steps start from the files, also after executors
+    are lost."""
+    path = f"{scratch(df.sparkSession)}/fathom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None, schema: StructType | str | None = None, lenient: bool = False) -> DataFrame:
     """One or many CSV files with a header. Only the listed columns are kept, and a missing one is an error; without a
     schema, types are inferred; lenient reading turns unreadable fields into nulls."""
