@@ -15,16 +15,15 @@ def _settled(edges: DataFrame) -> bool:
     return seen.filter("hangs > 1 or hangs > 0 and n > hangs").isEmpty()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a long, b long); root is the smallest node reachable.
 
-    Each round hangs neighbours on the smallest one; the edge table is written after each, so lost executors cost one
+    Each round hangs neighbours on the smallest one, until all hang on roots; rounds grow with the logarithm of the
+    components' depth. The edge table is written after each, so lost executors cost one
     round. Edges of a node to itself are dropped; a node without others is not listed.
     """
     now = keep(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    for _ in range(most_rounds):
-        if _settled(now):
-            break
+    while not _settled(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = keep(both.join(least, "a").filter("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a new local one only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``. On one machine a new local one is set where that is unset; on a
+    cluster that is an error, because executors would write to their own disks."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="fathom-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
