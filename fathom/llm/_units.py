@@ -15,16 +15,15 @@ class UnitMemo:
     """Ids by unit in a direct-mapped table, which is emptied when it holds ``most`` units. Subclasses give ``split``
     (texts to units) and ``unit`` (ids of one unit)."""
 
-    SLOTS = 1 << 19
     split: Callable[[list[str]], Split]
     unit: Callable[[str], list[int]]
 
     def __init__(self, most: int = 300_000):
-        self.most = most
+        self.most, self.bits = most, max(10, most.bit_length())  # a place or two for each unit
         self.clear()
 
     def clear(self) -> None:
-        self.key, self.row = np.zeros(self.SLOTS, np.uint64), np.zeros(self.SLOTS, np.int32)
+        self.key, self.row = np.zeros(1 << self.bits, np.uint64), np.zeros(1 << self.bits, np.int32)
         self.begin, self.count, self.n = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32), 0
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
 
@@ -51,7 +50,7 @@ class UnitMemo:
         if self.n > self.most:
             self.clear()
         h = span_hashes(cp, starts, ends) | np.uint64(1)  # never the 0 of an empty slot
-        slot = (h >> np.uint64(64 - 19)).astype(np.int64)
+        slot = (h >> np.uint64(64 - self.bits)).astype(np.int64)
         row = self.row[slot]
         miss = np.flatnonzero(self.key[slot] != h)
         if len(miss):

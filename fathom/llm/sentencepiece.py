@@ -89,7 +89,7 @@ _UNKNOWN_WEIGHT = 10.0  # what an unknown letter weighs more than the rarest pie
 
 
 class Transducer(UnitMemo):
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         super().__init__(most)
         with open(path, "rb") as f:
             self._compile(list(_fields(f.read())))
@@ -179,13 +179,10 @@ class Transducer(UnitMemo):
 
     def _admits(self, a: int, b: int) -> bool:
         """Whether piece b may follow piece a (-1: a place over which nothing merges)."""
-        key = (a << 20) + b
-        ok = self.follow.get(key)
-        if ok is None:
-            if len(self.follow) > 300_000:
-                self.follow.clear()
-            one, two = self.pieces[b], self.pieces[a] if a >= 0 else ""
-            ok = self.follow[key] = self._merge(two + one) == ([two, one] if two else [one])
+        if len(self.follow) > 500_000:
+            self.follow.clear()
+        one, two = self.pieces[b], self.pieces[a] if a >= 0 else ""
+        ok = self.follow[(a << 20) + b] = self._merge(two + one) == ([two, one] if two else [one])
         return ok
 
     # composition with one unit, and its shortest path
@@ -194,23 +191,28 @@ class Transducer(UnitMemo):
         n, far = len(text), float("inf")
         letter = [ord(c) for c in text]
         best, last, before = [0.0] + [far] * n, [-1] * (n + 1), [0] * (n + 1)
-        arc, ends, weight, free = self.arc.get, self.ends, self.weight, self.kind == UNIGRAM
+        arc, ends, weight, free, follow = self.arc.get, self.ends, self.weight, self.kind == UNIGRAM, self.follow.get
         for s in range(n):
-            here, p = best[s], last[s]
+            here = best[s]
             if here == far:
                 continue
-            state, e, single = 0, s, False
-            while e < n:
-                state = arc(state << 21 | letter[e])
+            state, e, single, pair = 0, s, False, last[s] << 20
+            for c in letter[s:]:
+                state = arc(state << 21 | c)
                 if state is None:
                     break
                 e += 1
                 k = ends[state]
                 if k >= 0:
-                    single |= e == s + 1
+                    if e == s + 1:
+                        single = True
                     total = here + weight[k]
-                    if total < best[e] and (free or self._admits(p, k)):
-                        best[e], last[e], before[e] = total, k, s
+                    if total < best[e]:
+                        ok = free or follow(pair + k)
+                        if ok is None:
+                            ok = self._admits(last[s], k)
+                        if ok:
+                            best[e], last[e], before[e] = total, k, s
             if not single and here + self.fallback < best[s + 1]:
                 best[s + 1], last[s + 1], before[s + 1] = here + self.fallback, -1, s
         path = []
