@@ -96,6 +96,9 @@ def test_running_sum_in_ranges(spark):
 def test_components(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("x", "y")], "a string, b string")
     assert dict(values(graph.connected(e), "node", "root")) == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
+    chain = spark.createDataFrame([(i + 1, i) for i in range(300)] + [(900, 901), (7, 7), (950, 950)], "a long, b long")
+    assert dict(values(graph.connected(chain), "node", "root")) == {**dict.fromkeys(range(301), 0), 900: 900, 901: 900, 950: 950}
+    assert graph.connected(chain.limit(0)).count() == 0
 
 
 def test_files(spark, tmp_path):
@@ -116,3 +119,35 @@ def test_empty_tables(spark):
     assert clean.without_rare(empty, "market", "country", "y", 0.1, 0.1).count() == 0
     assert aggregate.value_counts(empty, "market").count() == 0
     assert aggregate.running(empty, "y", "v").count() == 0
+
+
+def test_row_rules(spark):
+    from fathom.operators import clean, series
+
+    rows = spark.createDataFrame([(1, {"bu": "ADM", "x": "1"}), (2, {"x": "1"}), (3, {"bu": "EPS"}), (4, None)], "id int, row map<string,string>")
+    assert sorted(r["id"] for r in rows.filter(clean.matches("row", {"bu": ["adm"], "market": ["EMEA"]})).collect()) == [1, 2, 4]
+    texts = spark.createDataFrame([("a &eacute;&#33; &amp;lt;",), (None,), ("plain",)], "t string")
+    assert [r["x"] for r in texts.select(clean.unescaped("t").alias("x")).collect()] == ["a é! &lt;", None, "plain"]
+    days = spark.createDataFrame([("g", f"2000-01-{d:02d}") for d in (1, 1, 3, 7)] + [("h", "2000-01-02")], "k string, d string").selectExpr("k", "to_date(d) AS d")
+    import numpy as np
+
+    got = {r["k"]: r["slope"] for r in series.count_slope(days, ["k"], "d", "2000-02-01").collect()}
+    assert got["h"] == 0 and abs(got["g"] - np.polyfit([0, 0, 2, 6], [0, 1, 2, 3], 1)[0]) < 1e-9
+
+
+def test_ordered_normaliser(spark):
+    from fathom.operators import sets
+
+    cells = spark.createDataFrame([(1, [" js", "Java", "JavaScript", "", "js"]), (2, []), (3, None)], "id int, skills array<string>")
+    out = {r["id"]: r["skills"] for r in sets.in_order(cells, "id", "skills", spark.createDataFrame([("js", "JavaScript"), ("JavaScript", "JavaScript")], "variant string, canonical string")).collect()}
+    assert out == {1: ["JavaScript", "Java"], 2: [], 3: []}
+
+
+def test_failed_steps_are_told(spark):
+    from fathom.operators import warehouse
+
+    def bad():
+        raise ValueError("no")
+
+    log = warehouse.orchestrated([("one", lambda: spark.range(3)), ("two", bad), ("three", lambda: spark.range(1))], spark)
+    assert [tuple(r)[1:] for r in log.orderBy("position").collect()] == [("one", "completed", 3), ("two", "failed: ValueError", None), ("three", "skipped", None)]
