@@ -85,9 +85,10 @@ def bundles(triples: DataFrame, edges: DataFrame, weight: str, least: float) ->
     return out.withColumn("score", (F.col("_w0") + F.col("_w1") + F.col("_w2")) / 3).filter(F.col("score") >= least).select("x", "y", "z", "score")
 
 
-def greedy_cover(sets: DataFrame, key: str, weight: str, skills: str, candidates: DataFrame, most: int) -> DataFrame:
+def greedy_cover(sets: DataFrame, key: str, weight: str, skills: str, candidates: DataFrame, most: int, demand: str | None = None) -> DataFrame:
     """(step, cluster, gain): candidates in the order in which each covers the largest weight not covered before; the
-    lowest number of equals. Pairs that reach the Jaccard threshold are made once; the loop drops covered sets."""
+    lowest number of equals. Pairs that reach the Jaccard threshold are made once; the loop drops covered sets. Steps left
+    when nothing more is covered go to the other candidates by their raw ``demand`` column, if named, with a gain of 0."""
     from fathom.operators.sets import jaccard_candidates, threshold_reached
 
     spark = sets.sparkSession
@@ -102,4 +103,9 @@ def greedy_cover(sets: DataFrame, key: str, weight: str, skills: str, candidates
         taken = [c for _, c, _ in chosen]
         covered = pairs.filter(F.col("cluster").isin(taken)).select(key).distinct()
         left = pairs.join(covered, key, "left_anti")
+    pairs.unpersist()
+    if demand and len(chosen) < most:
+        others = candidates.filter(~F.col("cluster").isin([c for _, c, _ in chosen])) if chosen else candidates
+        rest = others.orderBy(F.desc(demand), "cluster").select("cluster").limit(most - len(chosen)).collect()
+        chosen += [(k, r["cluster"], 0.0) for k, r in enumerate(rest, len(chosen) + 1)]
     return spark.createDataFrame(chosen, "step int, cluster int, gain double")

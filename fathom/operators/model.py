@@ -98,14 +98,21 @@ def medoids(df: DataFrame, key: str, vector: str, cluster: str = "cluster") -> D
     return df.join(mean, cluster).groupBy(cluster).agg(F.min_by(key, F.struct(F.round(far, 9), key)).alias(key))
 
 
-def walks(edges: DataFrame, weight: str, length: int, per_node: int, seed: int = 7) -> DataFrame:
-    """(node, walk): weighted random walks by joins, the next step being that of smallest -ln(u) / weight."""
+def walks(edges: DataFrame, weight: str, length: int, per_node: int, seed: int = 7, p: float = 1.0, q: float = 1.0) -> DataFrame:
+    """(node, walk): weighted random walks by joins, the next step being that of smallest -ln(u) / weight.
+
+    A step back to the node before has its weight divided by ``p``, one to a node that is no neighbour of it by ``q``."""
     both = edges.select("a", "b", weight).union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), weight))
+    tied = both.select(F.col("a").alias("_before"), "b", F.lit(True).alias("_tied")).distinct()
     now = both.select(F.col("a").alias("node")).distinct().withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(per_node)))).withColumn("walk", F.array("node"))
     for step in range(length - 1):
         draw = (F.pmod(F.xxhash64("node", "k", "b", F.lit(step), F.lit(seed)), F.lit(1_000_003)) + 1) / 1_000_004.0
-        moves = now.withColumn("a", F.element_at("walk", -1)).join(both, "a").withColumn("_r", -F.log(draw) / F.col(weight))
-        now = moves.groupBy("node", "k", "walk").agg(F.min_by("b", "_r").alias("b")).select("node", "k", F.concat("walk", F.array("b")).alias("walk"))
+        moves, odds = now.withColumn("a", F.element_at("walk", -1)).join(both, "a"), F.col(weight).cast("double")
+        if step and (p != 1 or q != 1):
+            moves = moves.withColumn("_before", F.element_at("walk", -2)).join(tied, ["_before", "b"], "left")
+            odds = odds / F.when(F.col("b") == F.col("_before"), p).when(F.col("_tied"), 1.0).otherwise(q)
+        moves = moves.withColumn("_r", -F.log(draw) / odds)
+        now = moves.groupBy("node", "k", "walk").agg(F.min_by("b", F.struct("_r", "b")).alias("b")).select("node", "k", F.concat("walk", F.array("b")).alias("walk"))
     return now.select("node", "walk")
 
 

@@ -68,23 +68,41 @@ def jaccard_candidates(sets: DataFrame, key: str, skills: str, clusters: DataFra
     return left.join(right, "skill").groupBy(key, "cluster", "size", "_n").agg(F.count("*").alias("inter")).select(key, "cluster", "size", "inter", (F.col("_n") + F.col("size") - F.col("inter")).alias("union"))
 
 
-def best_match(candidates: DataFrame, key: str) -> DataFrame:
+def best_match(candidates: DataFrame, key: str, threshold: Column | None = None) -> DataFrame:
     """Of the pairs that reach their threshold the one of largest Jaccard; then the smaller cluster, then the lower
-    number. Fractions are compared by a common denominator, so ties are exact."""
-    ok = candidates.filter(threshold_reached(F.col("inter"), F.col("union")))
+    number. Fractions are compared by a common denominator, so ties are exact. ``threshold`` replaces the usual one."""
+    ok = candidates.filter(threshold_reached(F.col("inter"), F.col("union")) if threshold is None else threshold)
     exact = (F.col("inter").cast("decimal(20,0)") * 10_000_000_000_000 / F.col("union").cast("decimal(20,0)")).cast("decimal(38,6)")
     w = Window.partitionBy(key).orderBy(F.desc(exact), "size", "cluster")
     return ok.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
 
 
-def assign(df: DataFrame, row: str, skills: str, clusters: DataFrame) -> DataFrame:
-    """(row, cluster or null): distinct skill sets are matched once and their rows looked up."""
+def assign(df: DataFrame, row: str, skills: str, clusters: DataFrame, priority: Sequence[str] = ()) -> DataFrame:
+    """(row, cluster or null): distinct skill sets are matched once and their rows looked up.
+
+    A set that holds a priority skill which some cluster holds too goes to the best cluster with the first such skill,
+    whatever its Jaccard."""
     keyed = df.withColumn("_set", itemset(skills))
     distinct = keyed.groupBy("_set").agg(F.first(skills).alias(skills))
-    best = best_match(jaccard_candidates(distinct, "_set", skills, clusters), "_set").select("_set", "cluster")
+    pairs = jaccard_candidates(distinct, "_set", skills, clusters)
+    if not priority:
+        best = best_match(pairs, "_set").select("_set", "cluster")
+    else:
+        place = lambda c: F.filter(F.transform(F.array(*[F.lit(p) for p in priority]), lambda p, i: F.when(F.array_contains(c, p), i)), lambda i: i.isNotNull())
+        held = clusters.select("cluster", F.explode(place("members")).alias("_p"))
+        wanted = distinct.select("_set", F.explode(place(skills)).alias("_p")).join(held.select("_p").distinct(), "_p", "left_semi").groupBy("_set").agg(F.min("_p").alias("_p"))
+        told = pairs.join(wanted, "_set", "left").join(held.select("cluster", "_p", F.lit(True).alias("_has")), ["cluster", "_p"], "left")
+        forced = F.when(F.col("_p").isNull(), threshold_reached(F.col("inter"), F.col("union"))).otherwise(F.coalesce("_has", F.lit(False)))
+        best = best_match(told, "_set", forced).select("_set", "cluster")
     return keyed.join(best, "_set", "left").select(row, "cluster")
 
 
+def split_mapped(df: DataFrame, row: str, assigned: DataFrame, named: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with their cluster's label, and the rows that have no cluster, without the column."""
+    told = df.join(assigned, row, "left")
+    return told.filter("cluster is not null").join(named, "cluster", "left").drop("cluster"), told.filter("cluster is null").drop("cluster")
+
+
 def second_pass(df: DataFrame, row: str, skills: str, assigned: DataFrame, clusters: DataFrame, primary: Sequence[str]) -> DataFrame:
     """Assignments with unmatched rows tried again by their primary skills alone, against clusters cut to those."""
     names = F.array(*[F.lit(p) for p in primary])

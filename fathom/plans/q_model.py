@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -73,8 +74,8 @@ def vector_clusters(spark: SparkSession, d: str) -> DataFrame:
 @query("skill_embedding")
 def skill_embedding(spark: SparkSession, d: str) -> DataFrame:
     e = graph.strongest(pairs_lt(spark, d), "n", 9)
-    v = model.embed(model.walks(e, "n", 8, 4), size=8, window=4)
-    return v.select("node")
+    v = model.embed(stored(model.walks(e, "n", 8, 4, q=1.5)), size=8, window=4)
+    return v.select("node", vector_to_array("vector").alias("vector"))
 
 
 @query("csv_round_trip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")

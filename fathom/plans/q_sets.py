@@ -76,7 +76,7 @@ def _clusters(spark: SparkSession, d: str, n: int = 15) -> DataFrame:
     """The most frequent itemsets of two to four skills as clusters, numbered from 1."""
     top = sets.itemsets(order_skills(spark, d), "skills").filter(F.col("skill_count").between(2, 4)).orderBy(F.desc("n"), "itemset").limit(n)
     numbered = top.agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "itemset"))).alias("a")).select(F.posexplode("a").alias("i", "x"))
-    return numbered.select((F.col("i") + 1).alias("cluster"), F.split("x.itemset", ", ").alias("members"))
+    return numbered.select((F.col("i") + 1).alias("cluster"), F.split("x.itemset", ", ").alias("members"), (-F.col("x.k")).alias("demand"))
 
 
 _CLUSTERS = _CELLS + """, i AS (SELECT skills, count(*) AS n FROM s WHERE len(skills) BETWEEN 2 AND 4 GROUP BY 1), c AS (SELECT (row_number() OVER (ORDER BY n DESC, array_to_string(skills, ', ')))::INTEGER AS cluster, skills AS members FROM i ORDER BY n DESC, array_to_string(skills, ', ') LIMIT 15),
@@ -115,6 +115,29 @@ def second_pass_assign(spark: SparkSession, d: str) -> DataFrame:
     return sets.second_pass(s, "order_id", "skills", sets.assign(s, "order_id", "skills", c), c, _PRIMARY)
 
 
+_PRIORITY = ["valve", "bolt", "anvil"]
+
+
+@query(
+    "priority_assign",
+    _CLUSTERS + f""", q AS (SELECT unnest({_PRIORITY!r}) AS skill, unnest(range({len(_PRIORITY)})) AS place), hold AS (SELECT cluster, place FROM c JOIN q ON list_contains(members, skill)),
+    want AS (SELECT order_id, min(place) AS place FROM s JOIN q ON list_contains(skills, skill) WHERE place IN (SELECT place FROM hold) GROUP BY order_id),
+    f AS (SELECT p.*, want.place AS w, hold.cluster IS NOT NULL AS has FROM p LEFT JOIN want USING (order_id) LEFT JOIN hold ON hold.cluster = p.cluster AND hold.place = want.place),
+    z AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY i::DECIMAL(18,0) / u DESC, size, cluster) AS k FROM f WHERE i > 0 AND CASE WHEN w IS NOT NULL THEN has WHEN u >= 7 THEN i * 10 >= u * 3 ELSE i * 10 >= u * 4 END)
+    SELECT s.order_id, z.cluster FROM s LEFT JOIN z ON z.order_id = s.order_id AND z.k = 1""",
+)
+def priority_assign(spark: SparkSession, d: str) -> DataFrame:
+    return sets.assign(order_skills(spark, d), "order_id", "skills", _clusters(spark, d), _PRIORITY)
+
+
+@query("unmapped_orders", _CLUSTERS + " SELECT order_id, array_to_string(skills, ', ') AS skills FROM a JOIN s USING (order_id) WHERE cluster IS NULL")
+def unmapped_orders(spark: SparkSession, d: str) -> DataFrame:
+    s, c = order_skills(spark, d), _clusters(spark, d)
+    a = sets.assign(s, "order_id", "skills", c)
+    labels = sets.labels(sets.occurrence(s, "order_id", "skills", a, c))
+    return sets.split_mapped(s, "order_id", a, labels)[1].withColumn("skills", F.array_join("skills", ", "))
+
+
 @query("contained_match", _CLUSTERS + ", z AS (SELECT order_id, cluster, i / size AS containment, row_number() OVER (PARTITION BY order_id ORDER BY i / size DESC, cluster) AS k FROM p JOIN s USING (order_id) WHERE i = len(skills)) SELECT order_id, cluster, round(containment, 6) AS containment FROM z WHERE k = 1")
 def contained_match(spark: SparkSession, d: str) -> DataFrame:
     return sets.contained_match(order_skills(spark, d), "order_id", "skills", _clusters(spark, d)).withColumn("containment", F.round("containment", 6))

@@ -151,3 +151,107 @@ def test_failed_steps_are_told(spark):
 
     log = warehouse.orchestrated([("one", lambda: spark.range(3)), ("two", bad), ("three", lambda: spark.range(1))], spark)
     assert [tuple(r)[1:] for r in log.orderBy("position").collect()] == [("one", "completed", 3), ("two", "failed: ValueError", None), ("three", "skipped", None)]
+
+
+def small_graph(spark):
+    import itertools
+    import random
+
+    r = random.Random(3)
+    names = [f"s{i}" for i in range(9)]
+    vectors = {n: [r.uniform(-0.2, 1) for _ in range(4)] for n in names if n != "s8"}
+    edges = {(a, b): r.choice([0.1, 0.25, 0.5]) for a, b in itertools.combinations(names, 2) if r.random() < 0.75}
+    cluster = {n: 1 + (i >= 6) for i, n in enumerate(names)} | {"s5": 1}
+    rows = [(i, sorted(r.sample(names, r.randint(1, 4)))) for i in range(60)]
+    e = spark.createDataFrame([(a, b, w) for (a, b), w in edges.items()], "a string, b string, w double")
+    v = spark.createDataFrame(list(vectors.items()), "node string, vector array<double>")
+    m = spark.createDataFrame([(c, n) for n, c in cluster.items()], "cluster int, skill string")
+    return names, vectors, edges, cluster, rows, e, v, m
+
+
+def test_bundles_against_brute_force(spark):
+    import itertools
+
+    import numpy as np
+
+    from fathom.operators import bundles
+
+    names, vectors, edges, cluster, rows, e, v, m = small_graph(spark)
+    w = lambda a, b: edges.get((min(a, b), max(a, b)))
+
+    def coherence(b):
+        cos = [np.dot(vectors[x], vectors[y]) / np.linalg.norm(vectors[x]) / np.linalg.norm(vectors[y]) for x, y in itertools.combinations(b, 2) if x in vectors and y in vectors]
+        return round(float(np.mean(cos)) if cos else 0.0, 9)
+
+    want = {}
+    for c in (1, 2):
+        own = [n for n in names if cluster[n] == c]
+        clique = lambda b: all(w(x, y) is not None for x, y in itertools.combinations(b, 2))
+        threes = [t for t in itertools.combinations(own, 3) if clique(t) and coherence(t) >= 0.5]
+        fours = {tuple(sorted({*t, x})) for t in threes for x in own if x not in t and clique({*t, x}) and coherence({*t, x}) >= 0.5}
+        for b in [*threes, *fours]:
+            want[c, ", ".join(b)] = (coherence(b), round(sum(w(x, y) for x, y in itertools.combinations(b, 2)), 9))
+    found = bundles.candidates(bundles.inside(bundles.with_cosine(e, v), m), "w", 0.5).cache()
+    got = {(r["cluster"], r["bundle"]): (r["coherence"], r["support"]) for r in found.collect()}
+    assert len(want) > 8 and set(got) == set(want) and all(np.allclose(got[k], want[k], atol=2e-9) for k in want)
+
+    order = sorted(got, key=lambda k: (-got[k][0], -got[k][1], k[1]))
+    kept = []
+    for c, b in order:
+        s = set(b.split(", "))
+        if not any(k == c and len(s & set(t.split(", "))) / len(t.split(", ")) >= 0.70 for k, t in kept):
+            kept.append((c, b))
+    left = bundles.without_contained(found).cache()
+    assert values(left, "cluster", "bundle") == sorted(kept, key=str)
+
+    chosen = set()
+    for c in (1, 2):
+        own = {i for i, s in rows if any(cluster[x] == c for x in s)}
+        cover = {b: {i for i, s in rows if len(set(s) & set(b.split(", "))) >= 2} for k, b in kept if k == c}
+        quota, uncovered, step = max(3, int(10 * len(own) / len(rows))), set(own), 0
+        while step < quota and cover:
+            best = min(cover, key=lambda b: (-len(cover[b] & uncovered), -got[c, b][1], -got[c, b][0], b))
+            gain = len(cover[best] & uncovered)
+            if not gain:
+                break
+            step += 1
+            chosen.add((c, best, step, gain))
+            uncovered -= cover[best]
+    sets_ = spark.createDataFrame([(1, s) for _, s in rows], "n long, skills array<string>")
+    assert set(values(bundles.selected(left, m, sets_, "n", "skills", target=10), "cluster", "bundle", "step", "gain")) == chosen
+    assert bundles.selected(left.limit(0), m, sets_, "n", "skills").count() == 0 and bundles.without_contained(left.limit(0)).count() == 0
+    assert all(r["name"].startswith("-".join(r["members"][:3])) for r in bundles.named(left).collect())
+
+    every = sorted({b for _, b in got})
+    best = {}
+    for i, s in rows:
+        told = []
+        for b in every:
+            own = b.split(", ")
+            near = [w(x, y) for x in s for y in own if x != y and w(x, y) is not None]
+            told.append((set(s) <= set(own), round(0.5 * len(set(s) & set(own)) / len(s) + 0.5 * sum(near) / max(1, len(near)), 9), b))
+        good = [t for t in told if t[1] >= 0.25]
+        if good:
+            best[i] = min(good, key=lambda t: (not t[0], -t[1], t[2]))
+    df = spark.createDataFrame([*rows, (900, ["unknown"]), (901, []), (902, None)], "id int, skills array<string>")
+    assert {r["id"]: (r["whole"], r["score"], r["bundle"]) for r in bundles.match(df, "id", "skills", found, e, "w").collect()} == best
+
+
+def test_priority_and_padding(spark):
+    clusters = spark.createDataFrame([(1, ["a", "b"], 5), (2, ["a", "c", "d"], 9), (3, ["x", "y"], 7)], "cluster int, members array<string>, demand long")
+    rows = spark.createDataFrame([(1, ["a", "b"]), (2, ["a", "d", "e", "f", "g", "h", "i"]), (3, ["x"]), (4, ["q"]), (5, ["b", "p"]), (6, None)], "id int, skills array<string>")
+    assert dict(values(sets.assign(rows, "id", "skills", clusters, ["p", "d", "a"]), "id", "cluster")) == {1: 1, 2: 2, 3: 3, 4: None, 5: None, 6: None}
+    assert dict(values(sets.assign(rows, "id", "skills", clusters), "id", "cluster"))[2] is None
+    labels = spark.createDataFrame([(1, "MSC-a-b"), (2, "MSC-a"), (3, "MSC-x")], "cluster int, label string")
+    mapped, rest = sets.split_mapped(rows, "id", sets.assign(rows, "id", "skills", clusters), labels)
+    assert values(mapped, "id", "label") == [(1, "MSC-a-b"), (3, "MSC-x")] and mapped.columns == ["id", "skills", "label"] and rest.count() == 4
+    weighted = spark.createDataFrame([("ab", ["a", "b"], 4)], "itemset string, skills array<string>, n long")
+    assert [tuple(r) for r in graph.greedy_cover(weighted, "itemset", "n", "skills", clusters, 3, "demand").orderBy("step").collect()] == [(1, 1, 4.0), (2, 2, 0.0), (3, 3, 0.0)]
+
+
+def test_biased_walks(spark):
+    from fathom.operators import model
+
+    path = spark.createDataFrame([(f"n{i:02d}", f"n{i + 1:02d}", 1) for i in range(20)], "a string, b string, w int")
+    turns = lambda p: sum(x == z for r in model.walks(path, "w", 5, 4, p=p).collect() for x, z in zip(r["walk"], r["walk"][2:], strict=False))
+    assert turns(1e6) < turns(1.0) < turns(1e-6)
