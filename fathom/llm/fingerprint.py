@@ -6,15 +6,15 @@ Jaccard similarity of both sets. Texts that compress each other share phrases.""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathom.llm._store import keep
 from fathom.llm._text import span_hashes, strings
 from fathom.llm._worker import parts
 
@@ -106,7 +106,7 @@ def edited(text: str, following: str) -> str:
 
 
 _MADE = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-_FIELDS = pa.schema([("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+_FIELDS = [x.split()[0] for x in _MADE.split(", ")]
 
 
 def _beside(texts: list[str], own: list[Parsed], following: list[np.ndarray], next_texts: list[str]) -> list[pa.Array]:
@@ -128,6 +128,21 @@ def _beside(texts: list[str], own: list[Parsed], following: list[np.ndarray], ne
     ]
 
 
+def _range(keys: DataFrame, many: int) -> Column:
+    """The number of a key's range, in descending order of keys, as an expression over the column k.
+
+    Bounds are quantiles of a sample of the keys: 40 for each range, a million at most. Equal keys share a range."""
+    n, kind = keys.count(), keys.schema["k"].dataType.simpleString()
+    rate = max(1, n // min(40 * many, 1_000_000))
+    sample = sorted((tuple(r["k"]) for r in keys.filter(F.pmod(F.xxhash64("k"), F.lit(rate)) == 0).collect()), reverse=True)
+    bounds = sorted({sample[i * len(sample) // many] for i in range(1, many)}, reverse=True) if sample else []
+    listed = F.from_json(F.lit(json.dumps([dict(zip(("known", "doc_id", "tie"), b, strict=True)) for b in bounds])), f"array<{kind}>")
+    number, step = F.lit(0), 1 << len(bounds).bit_length()
+    while step := step >> 1:  # the bounds above the key, by binary search
+        number = F.transform(F.array(number), lambda at, step=step: F.when(F.get(listed, at + (step - 1)) > F.col("k"), at + step).otherwise(at))[0]
+    return number
+
+
 def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next: each document beside the
     one of next lower id, and beside its own text with the last third replaced by that one's beginning.
@@ -136,53 +151,37 @@ def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     own next one. A null text counts as empty. Repeated rows follow each other. Other columns are not read. An empty
     table gives no rows.
 
-    The texts are shuffled once, into ranges of ids, and each range is read through in order with two texts in memory.
-    What stands at the edge of a range, a first and a last row each, is stored and met in a second, small step."""
-    order = [F.desc_nulls_last("doc_id"), F.col("tie"), F.col("nth")]
+    The texts are shuffled once, into ranges of ids, each with the first row of the next range as a guest at its end,
+    and every range is read through in order with one text carried from slice to slice."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    rows = rows.select("doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("nth"))  # nth: repeats may be dealt to several ranges
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text", F.spark_partition_id().alias("part"))
+    rows = rows.select(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.xxhash64("text").alias("tie")).alias("k"), "text")
+    many = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = _range(rows.select("k"), many)
+    firsts = {r["range"]: r["first"] for r in rows.groupBy(number.alias("range")).agg(F.to_json(F.max("k")).alias("first")).collect()}  # a key for each range
+    filled = sorted(firsts)
+    before = dict(zip(filled, filled[-1:] + filled[:-1], strict=True))
+    first = F.from_json(F.lit(json.dumps([json.loads(firsts.get(r, "null")) for r in range(many)])), f"array<{rows.schema['k'].dataType.simpleString()}>")
+    home = F.from_json(F.lit(json.dumps([before.get(r, r) for r in range(many)])), "array<int>")
+    placed = rows.withColumn("own", number)
+    where = F.when(F.get(first, F.col("own")) == F.col("k"), F.array("own", F.get(home, F.col("own")))).otherwise(F.array("own"))
+    dealt = placed.select("k", "text", F.posexplode_outer(where).alias("guest", "range"))
+    ranged = dealt.repartitionById(many, F.col("range")).sortWithinPartitions("range", "guest", F.desc("k")).select(F.col("k.doc_id").alias("doc_id"), "text", "guest")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows whose next one stands in the same range; of each range the text of the first row, then of the last."""
-        last: tuple | None = None  # id as an array of one, text, parse, part
+        """Each row that is no guest with the row that follows it."""
+        carried: tuple | None = None  # id as an array of one, text, parse
         for batch in parts(batches, "text"):
             texts = strings(batch, "text")
             if not texts:
                 continue
-            own, ids, part = parse(texts), batch.column(0), batch.column(2)[0].as_py()
-            if last is None:
-                yield _edge(ids.slice(0, 1), texts[0], own[0], part, "first")
-            else:
-                texts, own, ids = [last[1], *texts], [last[2], *own], pa.concat_arrays([last[0], ids])
-            if len(texts) > 1:
-                made = _beside(texts[:-1], own[:-1], [f for _, f in own[1:]], texts[1:])
-                n = len(texts) - 1
-                empty = [pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())]
-                yield pa.RecordBatch.from_arrays([ids.slice(0, n), *made, *empty], names)
-            last = (ids.slice(len(texts) - 1), texts[-1], own[-1], part)
-        if last is not None:
-            yield _edge(*last, "last")
-
-    names = ["doc_id", *_FIELDS.names, "text", "part", "edge"]
-
-    def _edge(ids: pa.Array, text: str, own: Parsed, part: int, edge: str) -> pa.RecordBatch:
-        blank = [pa.nulls(1, f.type) for f in _FIELDS]
-        blank[2] = pa.array([written(own[1])])
-        return pa.RecordBatch.from_arrays([ids, *blank, pa.array([text]), pa.array([part], pa.int32()), pa.array([edge])], names)
-
-    scanned = keep(ranged.mapInArrow(scan, f"doc_id {kind}, {_MADE}, text string, part int, edge string"))
-    inner = scanned.filter("edge IS NULL").select("doc_id", *_FIELDS.names)
-    firsts = scanned.filter("edge = 'first'").select(F.col("part").alias("after"), F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint"))
-    filled = sorted(r["after"] for r in firsts.select("after").collect())  # one number for each range
-    follows = docs.sparkSession.createDataFrame(list(zip(filled, filled[1:] + filled[:1], strict=True)), "part int, after int")
-    lasts = scanned.filter("edge = 'last'").select("doc_id", "text", "part").join(follows, "part").join(firsts, "after").select("doc_id", "text", "next_text", "next_fingerprint")
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches, "text"):
-            texts = strings(batch, "text")
-            following = [read(x) for x in strings(batch, "next_fingerprint")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *_beside(texts, parse(texts), following, strings(batch, "next_text"))], names[:7])
-
-    return inner.union(lasts.mapInArrow(meet, f"doc_id {kind}, {_MADE}"))
+            own, ids, guest = parse(texts), batch.column(0), batch.column(2).to_pylist()
+            if carried is not None:
+                ids, texts, own, guest = pa.concat_arrays([carried[0], ids]), [carried[1], *texts], [carried[2], *own], [0, *guest]
+            at = [i for i in range(len(texts) - 1) if not guest[i]]
+            if at:
+                made = _beside([texts[i] for i in at], [own[i] for i in at], [own[i + 1][1] for i in at], [texts[i + 1] for i in at])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at)), *made], ["doc_id", *_FIELDS])
+            carried = None if guest[-1] else (ids.slice(len(texts) - 1), texts[-1], own[-1])
+
+    return ranged.mapInArrow(scan, f"doc_id {kind}, {_MADE}")
