@@ -7,7 +7,7 @@ Jaccard similarity of both sets. Texts that compress each other share phrases.""
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import sha256
 
 import numpy as np
@@ -137,9 +137,13 @@ def _range(keys: DataFrame, many: int) -> Column:
     sample = sorted((tuple(r["k"]) for r in keys.filter(F.pmod(F.xxhash64("k"), F.lit(rate)) == 0).collect()), reverse=True)
     bounds = sorted({sample[i * len(sample) // many] for i in range(1, many)}, reverse=True) if sample else []
     listed = F.from_json(F.lit(json.dumps([dict(zip(("known", "doc_id", "tie"), b, strict=True)) for b in bounds])), f"array<{kind}>")
-    number, step = F.lit(0), 1 << len(bounds).bit_length()
-    while step := step >> 1:  # the bounds above the key, by binary search
-        number = F.transform(F.array(number), lambda at, step=step: F.when(F.get(listed, at + (step - 1)) > F.col("k"), at + step).otherwise(at))[0]
+
+    def further(step: int) -> Callable[[Column], Column]:
+        return lambda at: F.when(F.get(listed, at + (step - 1)) > F.col("k"), at + step).otherwise(at)
+
+    number = F.lit(0)
+    for bit in reversed(range(len(bounds).bit_length())):  # the bounds above the key, by binary search
+        number = F.transform(F.array(number), further(1 << bit))[0]
     return number
 
 

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fathom.llm import fingerprint
 
@@ -89,6 +90,15 @@ def test_next_documents_equal_a_plain_version(spark, ranges):
     assert got == {r[0]: r for r in plain(rows)}
 
 
+def test_ranges_are_even_and_in_order(spark):
+    keys = spark.range(20000).select(F.struct(F.lit(True).alias("known"), F.col("id").alias("doc_id"), F.xxhash64("id").alias("tie")).alias("k"))
+    keys = keys.union(spark.range(10000).select(F.struct(F.lit(False), F.lit(None).cast("long"), F.xxhash64("id"))))  # a third without an id
+    got = keys.groupBy(fingerprint._range(keys, 16).alias("range")).agg(F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("high")).orderBy("range").collect()
+    assert [r["range"] for r in got] == list(range(16)) and max(r["n"] for r in got) < 2 * 30000 / 16
+    order = lambda k: (k["known"], k["doc_id"] or 0, k["tie"])
+    assert all(order(a["low"]) > order(b["high"]) for a, b in zip(got, got[1:], strict=False))
+
+
 def test_repeats_and_single_rows(spark):
     same = [(1, "the same text of one id")] * 6 + [(None, "z")] * 3 + [(2, "the same text of one id")]
     got = fingerprint.against_next(table(spark, same)).collect()
