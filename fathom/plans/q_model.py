@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fathom.functions.dates import month_of_column
-from fathom.operators import graph, model, series
+from fathom.operators import explain, graph, model, series
 from fathom.plans.adapt import load, query
 from fathom.plans.q_graph import pairs_lt
 from fathom.plans.q_series import KEYS, monthly
@@ -109,3 +109,22 @@ def uplf_unpivot(spark: SparkSession, d: str) -> DataFrame:
     found = {n: month_of_column(n) for n in c.columns}
     cols = [F.struct(F.lit(m[0] * 12 + m[1] - 1).alias("t"), F.col(f"`{n}`").alias("value")) for n, m in found.items() if m]
     return c.select("c_custkey", F.explode(F.array(*cols)).alias("x")).select("c_custkey", "x.t", "x.value")
+
+
+@query("shapley_values")
+def shapley_values(spark: SparkSession, d: str) -> DataFrame:
+    """Every forecast row of the last months with its base and the part of each column; the parts add up."""
+    f = stored(_features(spark, d))
+    last = _last(f)
+    m = model.fit_global(f.filter(F.col("t") < last - 6), "target", ["bu", "cluster", "month"], NUMERIC)
+    out = explain.attributed(m, f.filter(F.col("t") >= last - 6))
+    parts = [F.col("contributions")[i].alias(f"by_{c}") for i, c in enumerate(["bu", "cluster", "month", *NUMERIC])]
+    return out.select(*KEYS, "t", "prediction", "base", *parts)
+
+
+@query("shapley_top_features")
+def shapley_top_features(spark: SparkSession, d: str) -> DataFrame:
+    """The columns that move the forecasts most, over all rows of the table."""
+    f = stored(_features(spark, d))
+    m = model.fit_global(f.filter(F.col("t") < _last(f) - 6), "target", ["bu", "cluster", "month"], NUMERIC)
+    return explain.top(explain.attributed(m, f), ["bu", "cluster", "month", *NUMERIC])
