@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fathom.functions.dates import month_of_column
-from fathom.operators import explain, graph, model, series
+from fathom.operators import explain, graph, model, series, stack
 from fathom.plans.adapt import load, query
 from fathom.plans.q_graph import pairs_lt
 from fathom.plans.q_series import KEYS, monthly
@@ -128,3 +128,43 @@ def shapley_top_features(spark: SparkSession, d: str) -> DataFrame:
     f = stored(_features(spark, d))
     m = model.fit_global(f.filter(F.col("t") < _last(f) - 6), "target", ["bu", "cluster", "month"], NUMERIC)
     return explain.top(explain.attributed(m, f), ["bu", "cluster", "month", *NUMERIC])
+
+
+@query("stacked_forecast")
+def stacked_forecast(spark: SparkSession, d: str) -> DataFrame:
+    """The last months by the ensemble, beside what each base model says."""
+    f = stored(_features(spark, d))
+    last = _last(f)
+    s, _ = stack.fit_stack(f.filter(F.col("t") < last - 6), [*KEYS, "t"], "target", ["bu", "cluster", "month"], NUMERIC)
+    return stack.predict_stack(s, f.filter(F.col("t") >= last - 6)).select(*KEYS, "t", "target", "by_gbt", "by_poisson", "by_forest", "predicted")
+
+
+@query("stack_errors")
+def stack_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Root mean squared error of each base model and of the ensemble on rows that their models have not seen."""
+    f = stored(_features(spark, d))
+    s, held = stack.fit_stack(f.filter(F.col("t") < _last(f) - 6), [*KEYS, "t"], "target", ["bu", "cluster", "month"], NUMERIC)
+    whole = sum((F.col(f"by_{k}") * w for k, w in s.weights.items()), F.lit(0.0))
+    said = F.array(*[F.struct(F.lit(k).alias("model"), F.lit(w).alias("weight"), F.col(f"by_{k}").alias("p")) for k, w in s.weights.items()], F.struct(F.lit("ensemble").alias("model"), F.lit(1.0).alias("weight"), whole.alias("p")))
+    return held.select("target", F.explode(said).alias("x")).groupBy("x.model", "x.weight").agg(F.sqrt(F.avg((F.col("x.p") - F.col("target")) ** 2)).alias("rmse"), F.count("*").alias("n"))
+
+
+def _grouped(spark: SparkSession, d: str) -> DataFrame:
+    f = stored(_features(spark, d))
+    last = _last(f)
+    m = model.fit_global(f.filter(F.col("t") < last - 6), "target", ["bu", "cluster", "month"], NUMERIC, "poisson")
+    rows = model.predict(m, f).withColumnRenamed("predicted", "global").withColumn("is_train", F.col("t") < last - 6).withColumn("moon", F.col("month").cast("double"))
+    return stack.per_group(rows, KEYS, "target", [*NUMERIC, "moon"], "is_train", "global")
+
+
+@query("per_group_models")
+def per_group_models(spark: SparkSession, d: str) -> DataFrame:
+    """The last months by a model for each group, beside the global model."""
+    return _grouped(spark, d).select(*KEYS, "t", "target", "global", "own", "predicted", "source")
+
+
+@query("per_group_errors")
+def per_group_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Mean absolute error of the last months for each group: its own model and the global one."""
+    off = lambda c: F.avg(F.abs(F.col(c) - F.col("target")))
+    return _grouped(spark, d).groupBy(*KEYS, "source").agg(off("own").alias("own_error"), off("global").alias("global_error"), F.count("*").alias("n"))
