@@ -15,6 +15,8 @@ from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fathom.sources.files import stored
+
 
 def frame(categorical: Sequence[str], numeric: Sequence[str]) -> list:
     """Stages that turn columns into one vector; categories are numbered by frequency, unseen ones have their own."""
@@ -79,7 +81,8 @@ def importance(model: PipelineModel, df: DataFrame, target: str, columns: Sequen
 def cluster_vectors(df: DataFrame, vector: str, options: Sequence[int], seed: int = 7) -> tuple[DataFrame, int]:
     """``df`` with ``cluster`` from k-means, the number of clusters being that of best silhouette; unit vectors."""
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
-    unit = df.withColumn("_f", array_to_vector(F.transform(vector, lambda x: (x / norm).cast("double")))).cache()
+    unit = df.withColumn("_f", array_to_vector(F.transform(vector, lambda x: (x / norm).cast("double"))))
+    unit = stored(unit)
     best = None
     for k in options:
         model = KMeans(k=k, seed=seed, featuresCol="_f", predictionCol="cluster", maxIter=15).fit(unit)

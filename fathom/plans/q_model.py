@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fathom.functions.dates import month_of_column
-from fathom.operators import explain, graph, model, series, stack
+from fathom.operators import explain, graph, minibatch, model, series, stack
 from fathom.plans.adapt import load, query
 from fathom.plans.q_graph import pairs_lt
 from fathom.plans.q_series import KEYS, monthly
@@ -71,6 +71,19 @@ def vector_clusters(spark: SparkSession, d: str) -> DataFrame:
     return model.medoids(out, "vec_id", "embedding")
 
 
+def _unit(spark: SparkSession, d: str) -> DataFrame:
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
+    return load(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x / norm).alias("embedding"))
+
+
+@query("vector_clusters_minibatch")
+def vector_clusters_minibatch(spark: SparkSession, d: str) -> DataFrame:
+    """Every vector's cluster, the number of clusters chosen from a range, and whether it is its cluster's medoid."""
+    out = stored(minibatch.cluster(_unit(spark, d), "vec_id", "embedding", range(10, 81, 14), batch=512)[0])
+    middle = model.medoids(out.filter("cluster IS NOT NULL"), "vec_id", "embedding")
+    return out.join(middle.select("vec_id", F.lit(True).alias("is_medoid")), "vec_id", "left").select("vec_id", "cluster", F.coalesce("is_medoid", F.lit(False)).alias("is_medoid"))
+
+
 @query("skill_embedding")
 def skill_embedding(spark: SparkSession, d: str) -> DataFrame:
     e = graph.strongest(pairs_lt(spark, d), "n", 9)
