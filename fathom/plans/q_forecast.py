@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fathom.operators import forecast as fc
-from fathom.operators import match, warehouse
+from fathom.operators import clean, match, warehouse
 from fathom.plans.adapt import load, query, service_orders
 from fathom.plans.q_aggregate import _FORECAST, forecast, ssd_floors
 
@@ -148,7 +148,7 @@ def forecast_overview(spark: SparkSession, d: str) -> DataFrame:
 
 @query("month_grid", ", q AS (SELECT bu, month(rsd) AS m, sum(qty) AS v FROM so WHERE year(rsd) = 2000 GROUP BY ALL) SELECT bu, " + ", ".join(f"coalesce(sum(v) FILTER (m = {k}), 0) AS m{k:02d}" for k in range(1, 13)) + ", " + ", ".join(f"coalesce(sum(v) FILTER (m BETWEEN {3 * k - 2} AND {3 * k}), 0) AS q{k}" for k in range(1, 5)) + " FROM q GROUP BY bu", orders=True)
 def month_grid(spark: SparkSession, d: str) -> DataFrame:
-    so = service_orders(spark, d).filter(F.year("rsd") == 2000).withColumn("m", F.month("rsd"))
+    so = clean.year_between(service_orders(spark, d), "rsd", 2000, 2000).withColumn("m", F.month("rsd"))
     p = so.groupBy("bu").pivot("m", list(range(1, 13))).agg(F.sum("qty")).na.fill(0.0)
     months = [F.col(str(k)).alias(f"m{k:02d}") for k in range(1, 13)]
     quarters = [sum((F.col(str(k)) for k in range(3 * q - 1, 3 * q + 1)), F.col(str(3 * q - 2))).alias(f"q{q}") for q in range(1, 5)]
@@ -176,7 +176,7 @@ def bu_performance(spark: SparkSession, d: str) -> DataFrame:
 
 @query("country_month_grid", "SELECT country, " + ", ".join(f"coalesce(sum(qty) FILTER (month(rsd) = {k}), 0) AS m{k}" for k in range(1, 7)) + " FROM so WHERE year(rsd) = 2001 GROUP BY country", orders=True)
 def country_month_grid(spark: SparkSession, d: str) -> DataFrame:
-    so = service_orders(spark, d).filter(F.year("rsd") == 2001).withColumn("m", F.concat(F.lit("m"), F.month("rsd").cast("string")))
+    so = clean.year_between(service_orders(spark, d), "rsd", 2001, 2001).withColumn("m", F.concat(F.lit("m"), F.month("rsd").cast("string")))
     return so.groupBy("country").pivot("m", [f"m{k}" for k in range(1, 7)]).agg(F.sum("qty")).na.fill(0.0)
 
 
@@ -196,7 +196,7 @@ def grade_distribution(spark: SparkSession, d: str) -> DataFrame:
 @query("demand_supply_gap", """, de AS (SELECT country, sum(qty) AS demand FROM so WHERE year(rsd) = 2000 GROUP BY ALL), su AS (SELECT n_name AS country, count(*) * 300.0 AS supply FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL), j AS (SELECT country, demand, coalesce(supply, 0) AS supply FROM de LEFT JOIN su USING (country))
 SELECT country, demand, supply, demand - supply AS gap, round(CASE WHEN demand > 0 THEN (demand - supply) * 100 / demand ELSE 0 END, 4) AS gap_pct, CASE WHEN demand > 0 AND (demand - supply) * 100 / demand > 25 THEN 'Critical' WHEN demand > 0 AND (demand - supply) * 100 / demand > 15 THEN 'Warning' ELSE 'OK' END AS status FROM j""", orders=True)
 def demand_supply_gap(spark: SparkSession, d: str) -> DataFrame:
-    de = service_orders(spark, d).filter(F.year("rsd") == 2000).groupBy("country").agg(F.sum("qty").alias("demand"))
+    de = clean.year_between(service_orders(spark, d), "rsd", 2000, 2000).groupBy("country").agg(F.sum("qty").alias("demand"))
     su = load(spark, d, "supplier").join(load(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("country")).agg((F.count("*") * 300.0).alias("supply"))
     j = de.join(su, "country", "left").withColumn("supply", F.coalesce("supply", F.lit(0.0)))
     dm, sp = F.col("demand"), F.col("supply")
@@ -211,7 +211,7 @@ def executive_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @query("scenario_simulate", ", m AS (SELECT bu, month(rsd) AS m, sum(qty) AS v FROM so WHERE year(rsd) = 2000 GROUP BY ALL) SELECT bu, m, kind, amount FROM (SELECT bu, m, 'baseline' AS kind, floor(v)::BIGINT AS amount FROM m UNION ALL SELECT bu, m, 'scenario', floor(v * 1.25)::BIGINT FROM m UNION ALL SELECT bu, m, 'adjustment', floor(v * 1.25)::BIGINT - floor(v)::BIGINT FROM m) t", orders=True)
 def scenario_simulate(spark: SparkSession, d: str) -> DataFrame:
-    m = service_orders(spark, d).filter(F.year("rsd") == 2000).groupBy("bu", F.month("rsd").alias("m")).agg(F.sum("qty").alias("v"))
+    m = clean.year_between(service_orders(spark, d), "rsd", 2000, 2000).groupBy("bu", F.month("rsd").alias("m")).agg(F.sum("qty").alias("v"))
     return fc.scenario(m, "v", bu=0.125, market=0.25)
 
 
