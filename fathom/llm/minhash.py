@@ -270,9 +270,17 @@ def classes(docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id", t
     return out.select("doc_id", F.col("least").alias("class_id"), "component_id", kept.alias("kept"))
 
 
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
 def deduplicate(docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with exactly one row of each component: the one of smallest id (null ids last), of equal ids the text of
-    smallest hash, of rows equal in both any one."""
+    smallest hash, of rows equal in both any one. All columns stay, whatever their names. Null texts count as empty; an
+    empty table gives no rows."""
     rows = _rows(docs, id_col, text_col)
     chosen = _grouped(rows, similar).filter("cid = chosen").select("cid", "least")
     named = rows.select("doc_id", "cid").join(chosen, "cid").filter(F.col("doc_id").eqNullSafe(F.col("least")))
@@ -280,5 +288,6 @@ def deduplicate(docs: DataFrame, similar: float = SIMILAR, id_col: str = "doc_id
     own_id, own_cid = docs[id_col].cast("long"), F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
     held = lambda n: docs.join(n, (own_cid == n["cid"]) & own_id.eqNullSafe(n["id"]), "left_semi")
     # only rows equal in id and text have to meet
-    several = held(named.filter("copies > 1")).withColumn("_cid", F.xxhash64(F.coalesce(text_col, F.lit("")))).withColumn("_id", F.col(id_col).cast("long"))
-    return held(named.filter("copies = 1")).unionByName(several.dropDuplicates(["_cid", "_id"]).drop("_cid", "_id"))
+    cid, own = _fresh(docs, "_cid"), _fresh(docs, "_id")
+    several = held(named.filter("copies > 1")).withColumn(cid, F.xxhash64(F.coalesce(text_col, F.lit("")))).withColumn(own, F.col(id_col).cast("long"))
+    return held(named.filter("copies = 1")).unionByName(several.dropDuplicates([cid, own]).drop(cid, own))

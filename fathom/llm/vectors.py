@@ -205,6 +205,18 @@ def _unpack(raw: bytes, width: int) -> np.ndarray:
     return np.frombuffer(raw, np.int16 if raw[:1] == b"s" else np.float64, offset=1).astype(float).reshape(-1, width)
 
 
+def scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers held as doubles, exact: in doubles where every partial sum fits their 53 bits, else
+    in 64-bit integers, else in integers without a bound. A product outside 64 bits is an error."""
+    most = x.shape[1] * float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0))
+    if most < 2.0**53:
+        return (x @ q).astype(np.int64)
+    if most < 2.0**62:
+        return x.astype(np.int64) @ q.astype(np.int64)
+    whole = [int(v) for v in q.tolist()]
+    return np.array([sum(int(a) * b for a, b in zip(row, whole, strict=True)) for row in x.tolist()], np.int64)
+
+
 class Segments:
     """An impact-ordered index of a block of vectors.
 
@@ -249,6 +261,7 @@ class Segments:
         order = np.argsort(-impact, kind="stable")
         order = order[(impact[order] > 0) & (self.begin[order + 1] > self.begin[order])]
         worst = float((q * np.where(q >= 0, self.low, self.low + self.step * levels)).sum()) + float((np.abs(q) * self.step).sum())
+        rounding = 1e-12 * float((np.abs(q) * np.maximum(np.abs(self.low), np.abs(self.low + self.step * levels))).sum())  # of the bounds' own sums
         gathered, open_ = np.zeros(n), np.full(n, len(self.low))
         possible = np.flatnonzero(self.rows != own)
         few, batch, taken = max(4 * k, n // 8), max(1, -(-len(order) // 16)), 0
@@ -261,9 +274,9 @@ class Segments:
             next_ = impact[order[taken]] if taken < len(order) else 0.0
             held = gathered[possible]
             lead = possible[np.argpartition(held, -2 * k)[-2 * k :]]
-            best = np.partition(self.x[lead] @ q, -k)[-k]
-            possible = possible[held + open_[possible] * next_ + worst + 1e-6 * (1 + abs(best)) >= best]
-        score = self.x[possible] @ q
+            best = float(np.partition(scores(self.x[lead], q), -k)[-k])
+            possible = possible[held + open_[possible] * next_ + worst + 1e-6 * (1 + abs(best)) + rounding >= best]
+        score = scores(self.x[possible], q)
         best = np.lexsort((self.ids[possible], -score))[:k]
         return possible[best], score[best], taken
 
@@ -293,11 +306,12 @@ def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 25
 
     Vectors that are null or hold null or non-finite components, and rows without an id, take no part; an empty or
     shorter vector counts as filled up with zeros. Each query row is answered, also where ids or whole rows repeat, and
-    has all rows but itself as candidates. No queries or no candidates give no rows; other columns are not read. The
+    has all rows but itself as candidates. Scores are exact at any magnitude; one outside 64 bits is an error. No queries or no candidates give no rows; other columns are not read. The
     index is built and stored once a block; blocks of the index and chunks of queries travel whole, each pair of them
     to a task group of its own.
     """
-    quantised = F.transform("v", lambda x: F.floor(x * float(scale)).cast("double"))
+    # doubles from 2^53 on are whole numbers; floor would cut them to 64 bits
+    quantised = F.transform("v", lambda x: F.when(F.abs(x * float(scale)) < F.lit(2.0**53), F.floor(x * float(scale)).cast("double")).otherwise(x * float(scale)))
     finite = F.coalesce(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).filter(F.col("vec_id").isNotNull() & finite)
     rows = keep(rows.select(F.monotonically_increasing_id().alias("rid"), "vec_id", quantised.alias("v")))
@@ -322,7 +336,7 @@ def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 25
             for c in chunks_.itertuples():
                 for i, r, q in zip(np.frombuffer(c.q_ids, np.int64).tolist(), np.frombuffer(c.q_rows, np.int64).tolist(), _unpack(c.q_x, width), strict=True):
                     at, score, _ = own.top(q, r, k)
-                    out.append(np.stack([np.full(len(at), r), np.full(len(at), i), own.ids[at], score.astype(np.int64)], 1))
+                    out.append(np.stack([np.full(len(at), r), np.full(len(at), i), own.ids[at], score], 1))
         return pd.DataFrame(np.concatenate(out) if out else np.zeros((0, 4), np.int64), columns=["rid", "query_id", "vec_id", "score"])
 
     found = left.groupBy("b", "c").cogroup(right.groupBy("b", "c")).applyInPandas(search, "rid long, query_id long, vec_id long, score long")

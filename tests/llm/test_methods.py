@@ -12,7 +12,7 @@ import pytest
 pytest.importorskip("public_tokenizers")
 import public_tokenizers
 
-from fathom.llm import html, packing, pii, quality, sentencepiece, sharding, toxicity, vectors
+from fathom.llm import html, minhash, packing, pii, quality, sentencepiece, sharding, toxicity, vectors
 from tests.llm.test_llm import BPE, docs, slow_spans, vectors_of
 
 SMALL = "/root/testdata/sf0.001"
@@ -366,3 +366,27 @@ def test_top_k_of_repeated_ids(spark):
             best = sorted((-int(w @ v), i) for b, (i, v) in enumerate(ok) if a != b)[:5]
             want += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
     assert got == sorted(want)
+
+
+def test_scores_are_exact_at_any_magnitude(spark):
+    rng = np.random.default_rng(33)
+    for size in (1e2, 3e5, 1e8, 1e9):
+        x = rng.integers(-size, size, size=(64, 64)).astype(float)
+        own = vectors.Segments(np.arange(64), np.arange(64), x, 32)
+        for r in range(0, 64, 16):
+            at, score, _ = own.top(x[r], r, 5)
+            slow = sorted(((-sum(int(a) * int(b) for a, b in zip(x[i], x[r], strict=True)), i) for i in range(64) if i != r))[:5]
+            assert [(-s, i) for i, s in zip(at.tolist(), score.tolist(), strict=True)] == slow
+    rows = [(i, [float(v) for v in rng.integers(-(10**6), 10**6, 8)]) for i in range(120)] + [(200, [2.0**26, 1.0]), (201, [2.0**-9, 3.0])]
+    got = vectors.exact_top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    whole = {i: [int(256 * v // 1) for v in x] for i, x in rows}
+    dot = lambda a, b: sum(p * q for p, q in zip(a, b, strict=False))
+    slow = {(q, k, i, -s) for q in (0, 50, 100, 200) for k, (s, i) in enumerate(sorted((-dot(whole[q], whole[i]), i) for i in whole if i != q)[:5], 1)}
+    assert {tuple(r) for r in got.collect()} == slow
+
+
+def test_deduplicate_keeps_columns_of_any_name(spark):
+    rows = [(1, "one text", 10, 20, "x"), (1, "one text", 11, 21, "y"), (2, "another text", 12, 22, "z"), (None, None, 13, 23, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id int, _CID int, cid string")
+    got = minhash.deduplicate(df)
+    assert got.columns == df.columns and sorted(r["_id"] for r in got.collect()) in ([10, 12, 13], [11, 12, 13])
