@@ -8,8 +8,13 @@ entity c as far as its pointwise mutual information reaches the information cont
 
 with probabilities over distinct texts; 1 means that t stands in no text without c. So that this holds for entities and
 words seen once or twice, ``sure`` takes for p(c | t) its lower bound by Wilson (one side, 95 %): words whose bound
-reaches ``generalise_at`` for some entity are generalised to a placeholder; those of them whose disclosure reaches
-``remove_at`` are removed. Patterns themselves are always replaced.
+reaches ``generalise_at`` for some entity are generalised to their class (number, code, name or other term); those of
+them whose disclosure reaches ``remove_at`` are removed. Patterns themselves are always replaced.
+
+The disclosure of a rare entity asks for less of p(c | t) the larger the corpus is, 1 / n to the power of 0.2 for a
+value of one text among n. So that the words hidden do not grow by that, the lower bound of p(c | t) itself has to reach
+``at_least`` too, whatever the size: a word in one text alone and with the value, or in five of ten, reaches 0.25; one in
+two of four does not.
 """
 
 from __future__ import annotations
@@ -160,6 +165,8 @@ def document_counts(docs: DataFrame, terms: DataFrame, repeated: DataFrame) -> D
 
 
 _KEY_BITS = 24
+#: The least lower bound of p(entity | word) at which a word is hidden, in a corpus of any size.
+AT_LEAST = 0.25
 #: One-sided 95 % of the normal distribution.
 _Z = 1.645
 
@@ -171,7 +178,7 @@ def _at_least(hits: Column, trials: Column) -> Column:
 
 
 def _disclosures(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(class, entity), and (class, term, disclosure, sure). Entities that the same texts mention are one class."""
+    """(class, entity), and (class, term, disclosure, sure, bound). Entities that the same texts mention are one class."""
     text = F.coalesce(text_col, F.lit(""))
     keyed = docs.select(F.xxhash64(text).alias("key"), text.alias("text"))
     keys = keep(keyed.groupBy("key").agg(F.count("*").alias("copies")))
@@ -187,21 +194,22 @@ def _disclosures(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
     counts = document_counts(keyed, terms.select("term").distinct(), keys.filter("copies > 1"))
     share = lambda p: F.log(p * n / F.col("n_entity")) / F.log(n / F.col("n_entity"))
     scored = both.join(counts, "term").filter(F.col("n_entity") < n)
-    scored = scored.select("class", "term", share(F.col("n_both") / F.col("n_term")).alias("disclosure"), share(_at_least(F.col("n_both"), F.col("n_term"))).alias("sure"))
+    bound = _at_least(F.col("n_both"), F.col("n_term"))
+    scored = scored.select("class", "term", share(F.col("n_both") / F.col("n_term")).alias("disclosure"), share(bound).alias("sure"), bound.alias("bound"))
     return entities.select("class", "entity"), scored
 
 
-def disclosing_terms(docs: DataFrame, generalise_at: float = 0.8, text_col: str = "text") -> DataFrame:
-    """(term, disclosure) of the words that surely reach the threshold for some entity."""
+def disclosing_terms(docs: DataFrame, generalise_at: float = 0.8, at_least: float = AT_LEAST, text_col: str = "text") -> DataFrame:
+    """(term, disclosure) of the words that surely reach both thresholds for some entity."""
     _, scored = _disclosures(docs, text_col)
-    return scored.filter(F.col("sure") >= generalise_at).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    return scored.filter((F.col("sure") >= generalise_at) & (F.col("bound") >= at_least)).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
 
 
-def reach(docs: DataFrame, generalise_at: float = 0.8, text_col: str = "text") -> DataFrame:
+def reach(docs: DataFrame, generalise_at: float = 0.8, at_least: float = AT_LEAST, text_col: str = "text") -> DataFrame:
     """One row (entities, reached, terms): different values in the texts, how many of them some word discloses, and how
     many words disclose any value or kind."""
     entities, scored = _disclosures(docs, text_col)
-    told = keep(scored.filter(F.col("sure") >= generalise_at).select("class", "term"))
+    told = keep(scored.filter((F.col("sure") >= generalise_at) & (F.col("bound") >= at_least)).select("class", "term"))
     values = entities.filter("entity >= 0").join(told.select("class").distinct().withColumn("hit", F.lit(1)), "class", "left")
     return values.agg(F.count("*").alias("entities"), F.count("hit").alias("reached")).crossJoin(told.agg(F.count_distinct("term").alias("terms")))
 
@@ -321,12 +329,19 @@ def find(docs: DataFrame, terms: DataFrame | None = None, id_col: str = "doc_id"
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
-PLACEHOLDERS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]", "[TERM]")
+PLACEHOLDERS = ("[EMAIL]", "[IP]", "[CARD]", "[PHONE]")
+
+
+def _class(word: str) -> str:
+    """What stands for a disclosing word: digits alone, digits among letters, a capital first, or any other."""
+    if any(map(str.isdigit, word)):
+        return "[NUMBER]" if word.isdigit() else "[CODE]"
+    return "[NAME]" if word[:1].isupper() else "[TERM]"
 
 
 def sanitise(docs: DataFrame, remove_at: float = 0.999, text_col: str = "text", **limits) -> DataFrame:
-    """``docs`` with its texts rewritten: patterns become placeholders, disclosing words a general placeholder, words
-    that disclose fully go. All other columns stay, whatever their names; a null text stays null, an empty one empty.
+    """``docs`` with its texts rewritten: patterns become placeholders, disclosing words their class, words that
+    disclose fully go. All other columns stay, whatever their names; a null text stays null, an empty one empty.
 
     Equal texts are rewritten alike, repeated rows each; rows keep no order among each other; an empty table gives no
     rows."""
@@ -342,8 +357,11 @@ def sanitise(docs: DataFrame, remove_at: float = 0.999, text_col: str = "text",
             for a, k, z in _merge(s, x):
                 if z <= done:
                     continue
-                word = k == len(KINDS) and bool(full) and int(words([t[a:z]])[0][0]) in full
-                part += [t[done : max(a, done)], "" if word else PLACEHOLDERS[k]]
+                if k < len(KINDS):
+                    instead = PLACEHOLDERS[k]
+                else:
+                    instead = "" if full and int(words([t[a:z]])[0][0]) in full else _class(t[a:z])
+                part += [t[done : max(a, done)], instead]
                 done = z
             out.append(None if was is None else "".join([*part, t[done:]]))
         cols = [b.column(i) for i in range(len(names))]
