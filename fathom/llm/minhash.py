@@ -34,6 +34,10 @@ from fathom.llm._text import mix, numbers, shingles, strings
 
 ROWS, BANDS, WIDTH, SIMILAR = 6, 32, 5, 0.8
 _BITS = 24
+#: Members of one key that look for missing links; with more of them the key is divided.
+CROWD = 16_384
+#: The register sets by which a crowded key is divided.
+_SETS = np.stack([np.random.default_rng(i).choice(ROWS * BANDS, 12, replace=False) for i in range(256)])
 
 
 def weighted(texts: list[str], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,15 +177,46 @@ def _split_keys(keys: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame
     return rooted, keep(split.filter("roots > 1").drop("roots"))
 
 
+def _divided(members: DataFrame, grouped: DataFrame, crowd: int) -> DataFrame:
+    """(key, last, size, cid, root, asked, set): the members of keys in which at most ``crowd`` ask, with set -1, and those
+    of other keys once for each register set in which they agree with a member of another root. Rows made grow in
+    proportion to the members."""
+    crowded = keep(members.filter("asked").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > crowd).select("key"))
+    calm = members.join(crowded, "key", "left_anti").withColumn("set", F.lit(-1))
+    names = ["key", "last", "cid", "root", "asked"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                b = whole.slice(at, 256)
+                sig = np.frombuffer(b"".join(b.column("sig").to_pylist()), np.uint32).reshape(b.num_rows, -1)
+                key = np.array(numbers(b, "key").to_pylist(), np.int64).view(np.uint64)
+                with np.errstate(over="ignore"):
+                    h = mix(key[:, None] + np.arange(len(_SETS), dtype=np.uint64)[None])
+                    for k in range(_SETS.shape[1]):
+                        h = mix(h + sig[:, _SETS[:, k]].astype(np.uint64))
+                row = pa.array(np.repeat(np.arange(b.num_rows), len(_SETS)))
+                cols = [pa.array(h.ravel().view(np.int64)), *(b.column(c).take(row) for c in names[1:])]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(np.tile(np.arange(len(_SETS), dtype=np.int32), b.num_rows))], [*names, "set"])
+
+    dense = members.join(crowded, "key", "left_semi").join(grouped.select("cid", "sig"), "cid").select(*names, "sig")
+    schema = ", ".join(f"{c} {members.schema[c].dataType.simpleString()}" for c in names) + ", set int"
+    parts = keep(dense.mapInArrow(run, schema))
+    open_ = parts.groupBy("key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"), F.max("asked").alias("any"))
+    met = parts.join(open_.filter("low <> high AND any").select("key", "size"), "key")
+    return calm.unionByName(met.select(*calm.columns))
+
+
 def _missing_links(members: DataFrame, grouped: DataFrame, packs: DataFrame, similar: float, block: int = 512, least: float = 0.7) -> DataFrame:
     """(a, b): verified links between members of one key that have different roots, as many as join what can be joined.
 
-    members: (key, last, size, cid, root, asked). Members stand in blocks and the asked ones visit each block, with
+    members: (key, last, size, cid, root, asked, set). Members stand in blocks and the asked ones visit each block, with
     registers and shingles. A pair is looked at in the first band that it shares, if its registers agree in ``least``
-    of all (three deviations under the threshold), nearest first, and only while its roots are not joined there."""
+    of all (three deviations under the threshold), nearest first, and only while its roots are not joined there; in a
+    divided key also in the first register set that it shares."""
     blocks = F.ceil(F.col("size") / block).cast("int")
     full = members.join(grouped.select("cid", "sig"), "cid").join(packs, "cid")
-    cols = ["key", "block", "last", "cid", "root", "asked", "sig", "pack"]
+    cols = ["key", "block", "last", "set", "cid", "root", "asked", "sig", "pack"]
     m = full.withColumn("block", F.pmod(F.xxhash64("cid"), blocks).cast("int")).select(*cols).toDF(*cols)
     q = full.filter("asked").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(*cols).toDF(*cols)
 
@@ -191,6 +226,7 @@ def _missing_links(members: DataFrame, grouped: DataFrame, packs: DataFrame, sim
         if len(member) and len(query):
             sig = np.stack([np.frombuffer(s, np.uint32) for s in member["sig"]])
             cid, asked, band = member["cid"].to_numpy(), member["asked"].to_numpy(), int(member["last"].iloc[0])
+            part = int(member["set"].iloc[0])
             known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             up: dict[int, int] = {}
 
@@ -204,6 +240,8 @@ def _missing_links(members: DataFrame, grouped: DataFrame, packs: DataFrame, sim
                 same = sig == np.frombuffer(s, np.uint32)
                 near = np.flatnonzero((same.mean(1) >= least) & (~asked | (cid < c)))
                 near = near[same[near].reshape(len(near), BANDS, ROWS).all(2).argmax(1) == band]
+                if part >= 0:
+                    near = near[same[near][:, _SETS].all(2).argmax(1) == part]
                 own = None
                 for k in near[np.argsort(-same[near].mean(1), kind="stable")].tolist():
                     x, y = find(r), find(roots[k])
@@ -246,6 +284,7 @@ def _grouped(rows: DataFrame, similar: float) -> DataFrame:
     # beside one large component only those outside it ask
     asked = (F.col("most") * 2 < F.col("size")) | (F.col("root") != F.col("top"))
     open_ = keep(rooted.join(split, "key").select("key", "last", "size", "cid", "root", asked.alias("asked")))
+    open_ = keep(_divided(open_, grouped, CROWD))
     links = keep(links.union(_missing_links(open_, grouped, packs, similar)))
     final = keep(components(links))
     told = grouped.select("cid", "least").join(final, grouped["cid"] == final["node"], "left").select("cid", "least", F.coalesce("root", "cid").alias("root"))

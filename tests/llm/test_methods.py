@@ -13,7 +13,7 @@ pytest.importorskip("public_tokenizers")
 import public_tokenizers
 
 from fathom.llm import html, minhash, packing, pii, quality, sentencepiece, sharding, toxicity, vectors
-from tests.llm.test_llm import BPE, docs, slow_spans, vectors_of
+from tests.llm.test_llm import BPE, docs, slow_spans, text, vectors_of
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -64,7 +64,7 @@ def test_disclosure_equals_a_slow_version(spark):
         entity_sets.append(held)
         word_sets[-1] = set(t.replace("@", " ").replace(".", " ").split())
     outside = [set(pii_words(t)) for t in distinct]
-    want = {}
+    want, surely, every = {}, set(), set()
     for e in {e for s in entity_sets for e in s}:
         c = sum(e in s for s in entity_sets)
         for w in {w for s, o in zip(entity_sets, outside, strict=True) if e in s for w in o}:
@@ -72,11 +72,29 @@ def test_disclosure_equals_a_slow_version(spark):
             k = sum(w in s for s in word_sets)
             p, z = both / k, 1.645
             low = (p + z * z / (2 * k) - z * np.sqrt(p * (1 - p) / k + z * z / (4 * k * k))) / (1 + z * z / k)
+            every.add(w)
+            surely |= {w} if low >= 0.25 else set()
             if np.log(low * n / c) / np.log(n / c) >= 0.2:
                 want[w] = max(want.get(w, -9.0), np.log(p * n / c) / np.log(n / c))
-    got = {r["term"]: r["disclosure"] for r in pii.disclosing_terms(df, generalise_at=0.2).collect()}
+    got = {r["term"]: r["disclosure"] for r in pii.disclosing_terms(df, generalise_at=0.2, at_least=0.0).collect()}
     hashed = {w: int(pii.words([w])[0].view(np.int64)[0]) for w in want}
     assert want and got == {hashed[w]: pytest.approx(d) for w, d in want.items()}
+    got = {r["term"] for r in pii.disclosing_terms(df, generalise_at=-9.0, at_least=0.25).collect()}
+    assert 1 < len(surely) < len(every) and got == {int(pii.words([w])[0].view(np.int64)[0]) for w in surely}
+
+
+def test_hidden_words_do_not_grow_with_the_corpus(spark):
+    """A word in one of two texts with a value is hidden in no corpus, however large; one that stands with it alone is."""
+    told = ["Ossip Brandt of ward 12 and room B7 asks mail@one.example", "Brandt wrote twice", "Brandt went away", "mail@one.example asks ward again", "asks again"]
+    for n in (2_000, 120_000):
+        df = docs(spark, told).select("doc_id", "text").union(spark.range(10, n).selectExpr("id", "concat('line ', id % 97, ' about ', id)"))
+        held = {int(pii.words([w])[0].view(np.int64)[0]): w for w in "Ossip Brandt of ward 12 and room B7 asks again".split()}
+        assert {held[r["term"]] for r in pii.disclosing_terms(df).collect() if r["term"] in held} == {"Ossip", "of", "and", "room", "B7", "ward", "asks"}
+    assert {held.get(r["term"]) for r in pii.disclosing_terms(df, at_least=0.0).collect()} >= {"again"}
+
+
+def test_classes_of_hidden_words():
+    assert [pii._class(w) for w in ("2077", "B7", "Ossip", "snowdrop", "été", "Émile", "x9")] == ["[NUMBER]", "[CODE]", "[NAME]", "[TERM]", "[TERM]", "[NAME]", "[CODE]"]
 
 
 def pii_words(t):
@@ -391,3 +409,79 @@ def test_deduplicate_keeps_columns_of_any_name(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, _id int, _CID int, cid string")
     got = minhash.deduplicate(df)
     assert got.columns == df.columns and sorted(r["_id"] for r in got.collect()) in ([10, 12, 13], [11, 12, 13])
+
+
+def _crowd(rng, groups=40, alone=200):
+    """Texts that share 60 % of their words, with planted groups of four at a similarity of 0.8 or a little more."""
+    common, texts = text(rng, 120), []
+    for _ in range(groups):
+        own = text(rng, 80).split()
+        texts += [common + " " + " ".join([*own[: 80 - k], *text(rng, k).split()]) for k in (0, 3, 11, 20)]
+    return texts + [common + " " + text(rng, 80) for _ in range(alone)]
+
+
+def test_divided_keys_lose_nothing(spark):
+    """Crowded keys divided by register sets, with no stars before, against all pairs; and few rows made."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(31)
+    texts = _crowd(rng)
+    rows = minhash._rows(docs(spark, texts), "doc_id", "text")
+    sketched = minhash._sketch(rows, minhash.ROWS * minhash.BANDS).groupBy("cid").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig")).cache()
+    part = lambda i: F.substring("sig", i * 24 + 1, 24)
+    keys = sketched.select("cid", F.posexplode(F.array(*[F.xxhash64(F.lit(i), part(i)) for i in range(32)])).alias("last", "key"))
+    sizes = keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = keys.join(sizes, "key").select("key", "last", "size", "cid", F.col("cid").alias("root"), F.lit(True).alias("asked")).cache()
+    packs = minhash._packs(rows, sketched.select("cid", "least"))
+    found = {}
+    for crowd in (10**6, 20):
+        parts = minhash._divided(members, sketched, crowd)
+        found[crowd] = {tuple(sorted(r)) for r in minhash._missing_links(parts, sketched, packs, 0.8).collect()}
+        assert (parts.filter("set >= 0").count() > 0) == (crowd == 20)
+    held = {r["cid"]: r["least"] for r in sketched.collect()}
+    sets = [minhash.weighted([t])[1:] for t in texts]
+    near = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if minhash.probability_jaccard(sets[i], sets[j]) >= 0.8]
+
+    def roots(links):
+        root = list(range(len(texts)))
+        for i, j in links:
+            a, b = sorted((root[i], root[j]))
+            root = [a if r == b else r for r in root]
+        return root
+
+    assert len(near) > 100
+    for links in found.values():
+        assert roots([(held[a], held[b]) for a, b in links]) == roots(near)
+    largest = members.agg(F.max("size")).first()[0]
+    pairs = minhash._divided(members.filter(F.col("size") == largest), sketched, 20).groupBy("key").count().agg(F.sum(F.col("count") * F.col("count"))).first()[0]
+    assert largest > 100 and pairs < 256 * largest * 8
+
+
+def test_recall_of_planted_copies_at_the_threshold(spark):
+    rng = random.Random(32)
+    texts, planted = [], []
+    for _ in range(300):
+        own = text(rng, 200).split()
+        changed = own[:]
+        at = rng.randrange(20, 150)
+        changed[at : at + 14] = text(rng, 14).split()
+        texts += [" ".join(own), " ".join(changed)]
+        a, b = (minhash.weighted([t])[1:] for t in texts[-2:])
+        assert 0.8 <= minhash.probability_jaccard(a, b) <= 0.86
+        planted.append((len(texts) - 2, len(texts) - 1))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.classes(docs(spark, texts)).collect()}
+    assert np.mean([got[i] == got[j] for i, j in planted]) >= 0.99
+
+
+def test_recall_where_lists_are_pruned(spark):
+    """Eight of 400 lists are probed; pairs planted a little over the threshold."""
+    rng = np.random.default_rng(33)
+    x = rng.normal(size=(4000, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=(1000, 48))
+    side -= (side * x[:1000]).sum(1)[:, None] * x[:1000]
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    y = 0.935 * x[:1000] + np.sqrt(1 - 0.935**2) * side
+    rows = [(i, [float(c) for c in v], 1) for i, v in enumerate(np.concatenate([x, y]))]
+    got = {r["vec_id"]: r["component_id"] for r in vectors.near_duplicates(vectors_of(spark, rows), list_size=1.25).collect()}
+    assert np.mean([got[4000 + i] == got[i] for i in range(1000)]) >= 0.98
