@@ -44,8 +44,13 @@ def candidates(edges: DataFrame, weight: str, least: float = 0.5) -> DataFrame:
         support = F.round(sum((F.col(f"_w{n}") for n in names), F.lit(0.0)), 9)
         return df.select("cluster", F.array_join(members, ", ").alias("bundle"), members.alias("members"), mean(names).alias("coherence"), support.alias("support"))
 
-    wedge = e.toDF("cluster", "x", "y", "_c0", "_w0").join(e.toDF("cluster", "y", "z", "_c1", "_w1"), ["cluster", "y"])
-    three = stored(tie(wedge, "x", "z", "2").filter(mean(["0", "1", "2"]) >= least))
+    # wedges start at the end of smaller degree in the cluster, so a hub makes few
+    degree = e.select("cluster", F.explode(F.array("a", "b")).alias("v")).groupBy("cluster", "v").agg(F.count("*").alias("d"))
+    ranked = e.join(degree.toDF("cluster", "a", "_da"), ["cluster", "a"]).join(degree.toDF("cluster", "b", "_db"), ["cluster", "b"])
+    first = (F.col("_da") < F.col("_db")) | ((F.col("_da") == F.col("_db")) & (F.col("a") < F.col("b")))
+    out = ranked.select("cluster", F.when(first, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("v"), "_c", "_w")
+    wedge = out.toDF("cluster", "x", "y", "_c0", "_w0").join(out.toDF("cluster", "x", "z", "_c1", "_w1"), ["cluster", "x"]).filter("y < z")
+    three = stored(tie(wedge, "y", "z", "2").filter(mean(["0", "1", "2"]) >= least))
     both = e.union(e.select("cluster", "b", "a", "_c", "_w"))
     four = three
     for k, end in enumerate(("x", "y", "z"), 3):

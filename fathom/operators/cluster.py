@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathom.operators import graph, sets
+from fathom.sources.files import stored
 
 Clusters = dict[int, list[str]]
 
@@ -71,7 +72,7 @@ def trimmed(weighted: DataFrame, clusters: Clusters, share: float = 0.2) -> Clus
 def build(weighted: DataFrame, candidates: DataFrame, most: int, wanted: Sequence[str], least_demand: float, share: float = 0.2) -> DataFrame:
     """(cluster, members, demand) from (itemset, skills, n) and candidate clusters."""
     spark = weighted.sparkSession
-    weighted = weighted.select("itemset", "skills", "n").cache()
+    weighted = stored(weighted.select("itemset", "skills", "n"))
     picked = [r["cluster"] for r in graph.greedy_cover(weighted, "itemset", "n", "skills", candidates, most).orderBy("step").collect()]
     members = {r["cluster"]: list(r["members"]) for r in candidates.filter(F.col("cluster").isin(picked)).collect()} if picked else {}
     clusters: Clusters = {k: members[c] for k, c in enumerate(picked, 1)}
