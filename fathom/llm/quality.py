@@ -128,15 +128,23 @@ def remainder(id_col: Column, divisor: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, wanted: Column, most_rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, y) of at most ``most_rows`` labelled documents: those of smallest hash of the id among ``wanted``.
-    Null labels are left out; of several labels of one id the smallest counts."""
+    """(doc_id, text, y) of at most ``most_rows`` labelled documents: those of smallest hash of the id among ``wanted``.
+
+    Null labels and null ids are left out; of several labels of one id the smallest counts, and of several rows of one id
+    the smallest text does, so that the bound is one of rows: each task hands on one text of an id, however often it
+    repeats. A null text counts as empty. Empty tables give no rows. Extra columns are not read."""
     one = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).cast("int").alias("y")).filter(wanted)
     few = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    return text.join(F.broadcast(few), "doc_id").select("doc_id", "text", "y")
+    return text.join(F.broadcast(few), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", divisor: int = 5, held_out: int = 0, most_rows: int = 12_000, id_col: str = "doc_id", text_col: str = "text") -> Trees:
+    """Trees fitted on at most ``most_rows`` labelled rows (see ``labelled_sample``) whose id has another remainder than
+    ``held_out``; whole texts, whatever their length, come to the driver as one row of STATISTICS each.
+
+    Repeated ids count once, so ties do not occur; rows of one text under several ids count each. With fewer than two rows
+    there is no split, and every text scores the share of label 1 among them, drawn towards one half."""
     sample = labelled_sample(docs, labels, label, remainder(F.col("doc_id"), divisor) != held_out, most_rows, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +175,10 @@ def score(docs: DataFrame, model: Trees, divisor: int = 5, held_out: int = 0, th
 
 
 def filter_rows(docs: DataFrame, model: Trees, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text reaches the threshold, with all their columns."""
+    """The rows of ``docs`` whose text reaches the threshold, with all their columns.
+
+    A null text is judged as an empty one; equal texts are kept or dropped alike, repeated rows each. A text is read whole,
+    whatever its length. An empty table gives no rows; other columns are carried along, whatever their names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _worker.parts(batches, text_col):

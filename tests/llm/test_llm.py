@@ -11,6 +11,7 @@ import pytest
 
 pytest.importorskip("public_tokenizers")
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from fathom.llm import html, minhash, packing, pii, quality, sentencepiece, sharding, toxicity, vectors
 from fathom.llm._components import components
@@ -205,6 +206,18 @@ def test_quality_learns(spark):
     assert quality.score(df, none).count() == 162
 
 
+def test_labelled_sample_is_bounded_in_rows(spark):
+    """Repeated ids give one row, the smallest text and label; null ids and labels none; the bound holds."""
+    rows = [(k % 5, f"t{k:04d}") for k in range(2000)] + [(7, None), (7, "late"), (8, "no label"), (None, "no id")]
+    many = spark.createDataFrame([(i, t, 9, "x") for i, t in rows], "doc_id long, text string, y int, quality string")
+    labels = spark.createDataFrame([(k, q) for k in range(8) for q in (1, k % 2)] + [(8, None), (None, 1)], "doc_id long, quality int")
+    whole = quality.labelled_sample(many, labels, "quality", quality.remainder(F.col("doc_id"), 1) == 0, 100)
+    told = {(r["doc_id"], r["text"], r["y"]) for r in whole.collect()}
+    assert whole.count() == len(told) and told == {(k, f"t{k:04d}", k % 2) for k in range(5)} | {(7, "", 1)}
+    assert quality.labelled_sample(many, labels, "quality", F.lit(True), 3).count() <= 3
+    assert quality.labelled_sample(many.limit(0), labels, "quality", F.lit(True), 3).count() == 0
+
+
 # 4 SentencePiece
 
 
