@@ -255,3 +255,23 @@ def test_biased_walks(spark):
     path = spark.createDataFrame([(f"n{i:02d}", f"n{i + 1:02d}", 1) for i in range(20)], "a string, b string, w int")
     turns = lambda p: sum(x == z for r in model.walks(path, "w", 5, 4, p=p).collect() for x, z in zip(r["walk"], r["walk"][2:], strict=False))
     assert turns(1e6) < turns(1.0) < turns(1e-6)
+
+
+def test_contained_match_meets_bundles_by_one_skill(spark):
+    rows = [(1, ["a", "b"]), (2, ["b"]), (3, ["a", "z"]), (4, []), (5, None), (6, ["c", "a", "b"]), (7, [None]), (8, ["b", "b"]), (9, ["a", None])]
+    held = [(1, ["a", "b", "c"]), (2, ["a", "b"]), (3, ["b", "a"]), (4, [None, "a", "z", "z"])]
+    got = sets.contained_match(spark.createDataFrame(rows, "k int, skills array<string>"), "k", "skills", spark.createDataFrame(held, "cluster int, members array<string>"))
+    want = {}
+    for k, s in rows:
+        own = set(s or ())
+        fits = [(-len(own) / len(set(m)), c) for c, m in held if own and None not in own and own <= set(m)]
+        if fits:
+            want[k] = (min(fits)[1], -min(fits)[0])
+    assert {r["k"]: (r["cluster"], r["containment"]) for r in got.collect()} == want
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1  # the bundles' members, not the rows' skills
+
+
+def test_skills_become_words_after_the_shuffle(spark):
+    from fathom.plans.q_sets import order_skills
+
+    assert "Generate" not in order_skills(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
