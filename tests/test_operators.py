@@ -257,6 +257,15 @@ def test_biased_walks(spark):
     assert turns(1e6) < turns(1.0) < turns(1e-6)
 
 
+def _loads(monkeypatch, table):
+    """A list that grows with every time that a query of skill sets asks for ``table``."""
+    from fathom.plans import q_sets
+
+    seen, load = [], q_sets.load
+    monkeypatch.setattr(q_sets, "load", lambda spark, d, name: (seen.append(name) if name == table else None) or load(spark, d, name))
+    return seen
+
+
 def test_contained_match_meets_bundles_by_one_skill(spark):
     rows = [(1, ["a", "b"]), (2, ["b"]), (3, ["a", "z"]), (4, []), (5, None), (6, ["c", "a", "b"]), (7, [None]), (8, ["b", "b"]), (9, ["a", None])]
     held = [(1, ["a", "b", "c"]), (2, ["a", "b"]), (3, ["b", "a"]), (4, [None, "a", "z", "z"])]
@@ -275,3 +284,20 @@ def test_skills_become_words_after_the_shuffle(spark):
     from fathom.plans.q_sets import order_skills
 
     assert "Generate" not in order_skills(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_weighted_sets_count_like_their_rows(spark):
+    rows = spark.createDataFrame([(["a", "b", "c"], 3), (["b", "a"], 2), (["c"], 4), ([], 5)], "skills array<string>, n long")
+    each = rows.select("skills", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    for one, many in ((sets.skill_counts(rows, "skills", weight="n"), sets.skill_counts(each, "skills")), (graph.pair_counts(rows, "skills", "n"), graph.pair_counts(each, "skills")), (graph.measures(rows, "skills", "n"), graph.measures(each, "skills"))):
+        assert sorted(one.collect()) == sorted(many.collect())
+
+
+@pytest.mark.parametrize("name", ["bundle_selection", "bundle_match"])
+def test_orders_are_gathered_once(spark, monkeypatch, name):
+    from fathom.plans.catalog import QUERIES
+
+    seen = _loads(monkeypatch, "lineitem")
+    out = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen == ["lineitem"]
+    assert "lineitem" not in " ".join(out.inputFiles())
