@@ -293,7 +293,7 @@ def test_weighted_sets_count_like_their_rows(spark):
         assert sorted(one.collect()) == sorted(many.collect())
 
 
-@pytest.mark.parametrize("name", ["bundle_selection", "bundle_match"])
+@pytest.mark.parametrize("name", ["bundle_selection", "cluster_build", "bundle_match"])
 def test_orders_are_gathered_once(spark, monkeypatch, name):
     from fathom.plans.catalog import QUERIES
 
