@@ -301,3 +301,15 @@ def test_orders_are_gathered_once(spark, monkeypatch, name):
     out = QUERIES[name](spark, "/root/testdata/sf0.001")
     assert seen == ["lineitem"]
     assert "lineitem" not in " ".join(out.inputFiles())
+
+
+def test_bundle_match_deals_rows_before_pairs(spark):
+    from fathom.operators import bundles
+
+    rows = spark.createDataFrame([("a, b", ["a", "b"]), ("b", ["b"])], "itemset string, skills array<string>")
+    held = spark.createDataFrame([("a, b, c", ["a", "b", "c"])], "bundle string, members array<string>")
+    edges = spark.createDataFrame([("a", "b", 0.5), ("b", "c", 0.25)], "a string, b string, w double")
+    got = bundles.match(rows, "itemset", "skills", held, edges, "w")
+    assert sorted((r["itemset"], r["containment"], r["graph_score"], r["whole"]) for r in got.collect()) == [("a, b", 1.0, 1.25 / 3, True), ("b", 1.0, 0.375, True)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(skill" not in plan
