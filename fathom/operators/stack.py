@@ -6,7 +6,8 @@ the second level's only input. New rows get the mean of a base model's fold mode
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, product
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.util import inheritable_thread_target
 
 from fathom.operators import model
 from fathom.sources.files import stored
@@ -54,20 +56,22 @@ def simplex_weights(gram: np.ndarray, cross: np.ndarray) -> np.ndarray:
     return best[1]
 
 
-def fit_stack(train: DataFrame, keys: Sequence[str], target: str, categorical: Sequence[str], numeric: Sequence[str], kinds: Sequence[str] = ("gbt", "poisson", "forest"), folds: int = 5) -> tuple[Stack, DataFrame]:
+def fit_stack(train: DataFrame, keys: Sequence[str], target: str, categorical: Sequence[str], numeric: Sequence[str], kinds: Sequence[str] = ("gbt", "poisson", "forest"), folds: int = 5, parallelism: int = 8) -> tuple[Stack, DataFrame]:
     """The stack, and the rows with their ``fold`` and what each base model says of them without having seen them.
 
     A row's fold is a hash of its keys, so it is the same in every run. The second level sees sums of products over those
-    columns alone, a few numbers. Rows with a null target are left out."""
+    columns alone, a few numbers. Rows with a null target are left out. The models do not depend on each other:
+    ``parallelism`` of them are fitted at a time, as their many small jobs leave most cores idle one by one."""
     rows = stored(train.filter(F.col(target).isNotNull()).withColumn("fold", F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int")))
-    bases: dict[str, list[PipelineModel]] = {k: [] for k in kinds}
+    one = lambda x: fit_base(rows.filter(F.col("fold") != x[1]), target, categorical, numeric, x[0])
+    with ThreadPool(max(1, min(parallelism, folds * len(kinds)))) as pool:
+        fitted = pool.map(inheritable_thread_target(rows.sparkSession)(one), list(product(kinds, range(folds))), 1)
+    bases: dict[str, list[PipelineModel]] = {k: fitted[i * folds : (i + 1) * folds] for i, k in enumerate(kinds)}
     held: list[DataFrame] = []
     for fold in range(folds):
         part = rows.filter(F.col("fold") == fold)
         for kind in kinds:
-            fitted = fit_base(rows.filter(F.col("fold") != fold), target, categorical, numeric, kind)
-            bases[kind].append(fitted)
-            part = _said(fitted, part, f"by_{kind}")
+            part = _said(bases[kind][fold], part, f"by_{kind}")
         held.append(part)
     out = held[0]
     for h in held[1:]:

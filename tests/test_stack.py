@@ -75,3 +75,30 @@ def test_each_group_has_its_own_model_or_the_global_one(spark):
     assert all(abs(by[g, t]["predicted"] - by[g, t]["y"]) < 3 and by[g, t]["source"] == "own" for g in "ab" for t in range(40, 50))
     assert all(by[k]["predicted"] == 7.0 and by[k]["source"] == "global" and by[k]["own"] is None for k in (("few", 6), (None, 1)))
     assert stack.per_group(df.filter(F.lit(False)), ["g"], "y", ["odd"], "is_train", "glob").collect() == []
+
+
+def test_models_of_the_stack_are_fitted_at_a_time(spark, monkeypatch):
+    import threading
+    import time
+
+    rows = spark.createDataFrame([(k, float(k % 7), float(k % 7)) for k in range(60)], "k int, x double, y double")
+    fit, lock, now, most = stack.fit_base, threading.Lock(), [0], [0]
+
+    def slow(*a):
+        with lock:
+            now[0] += 1
+            most[0] = max(most[0], now[0])
+        time.sleep(0.3)
+        try:
+            return fit(*a)
+        finally:
+            with lock:
+                now[0] -= 1
+
+    monkeypatch.setattr(stack, "fit_base", slow)
+    many, held = stack.fit_stack(rows, ["k"], "y", [], ["x"], kinds=("poisson", "forest"), folds=2)
+    assert 1 < most[0] <= 4 and [len(many.bases[k]) for k in ("poisson", "forest")] == [2, 2]
+    monkeypatch.undo()
+    _, alone = stack.fit_stack(rows, ["k"], "y", [], ["x"], kinds=("poisson", "forest"), folds=2, parallelism=1)
+    one, two = ({r["k"]: r["by_poisson"] for r in h.collect()} for h in (held, alone))  # bagging depends on the files' order
+    assert one.keys() == two.keys() and all(abs(one[k] - two[k]) < 1e-9 for k in one)
