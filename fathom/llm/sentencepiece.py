@@ -120,18 +120,17 @@ class Transducer(UnitMemo):
         self.map = character_map(options.get(2, b""))
         self.longest, self.mapped = max(map(len, self.map), default=0), frozenset(k[0] for k in self.map)
         self.dummy, self.squeeze = options.get(3, 1), options.get(4, 1)
-        # arcs by state and letter, and the piece that ends at a state, or -1
-        self.arc: dict[int, int] = {}
-        self.ends = [-1]
-        for piece, number in self.number.items():
-            state = 0
-            for c in piece:
-                key = state << 21 | ord(c)
-                if key not in self.arc:
-                    self.arc[key] = len(self.ends)
-                    self.ends.append(-1)
-                state = self.arc[key]
-            self.ends[state] = number
+        # a state is its arcs by letter; an arc has the next state, the piece that ends there, or -1, and its weight
+        self.root: dict[str, tuple] = {}
+        self.rank = {piece: self.weight[number] for piece, number in self.number.items()}
+        for piece in sorted(self.number):  # prefixes first
+            state = self.root
+            for c in piece[:-1]:
+                if c not in state:
+                    state[c] = ({}, -1, 0.0)
+                state = state[c][0]
+            if piece:
+                state[piece[-1]] = (state[piece[-1]][0] if piece[-1] in state else {}, self.number[piece], self.rank[piece])
         self.fallback = max((self.weight[k] for k in self.number.values()), default=0.0) + _UNKNOWN_WEIGHT
         long = [p for p in self.number if len(p) > 1]
         self.alone = "".join(c for c in "\n\t" if not any(c in p for p in long))
@@ -168,13 +167,19 @@ class Transducer(UnitMemo):
     # the follow-on machine
     def _merge(self, text: str) -> list[str]:
         """Pieces by merging neighbours of least weight first, the left ones of equals."""
-        parts = list(text)
-        while len(parts) > 1:
-            options = [(self.weight[self.number[a + b]], k) for k, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if a + b in self.number]
-            if not options:
+        parts, far, rank = list(text), float("inf"), self.rank.get
+        weight = [rank(a + b, far) for a, b in zip(parts, parts[1:], strict=False)]
+        while weight:
+            least = min(weight)
+            if least == far:
                 break
-            _, k = min(options)
+            k = weight.index(least)
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del weight[k]
+            if k < len(weight):
+                weight[k] = rank(parts[k] + parts[k + 1], far)
+            if k:
+                weight[k - 1] = rank(parts[k - 1] + parts[k], far)
         return parts
 
     def _admits(self, a: int, b: int) -> bool:
@@ -189,31 +194,27 @@ class Transducer(UnitMemo):
     def shortest(self, text: str) -> tuple[list[int], float]:
         """The path of least weight through the composed machines, as piece numbers (-1: one letter by the fallback)."""
         n, far = len(text), float("inf")
-        letter = [ord(c) for c in text]
         best, last, before = [0.0] + [far] * n, [-1] * (n + 1), [0] * (n + 1)
-        arc, ends, weight, free, follow = self.arc.get, self.ends, self.weight, self.kind == UNIGRAM, self.follow.get
+        root, free, follow = self.root, self.kind == UNIGRAM, self.follow.get
         for s in range(n):
             here = best[s]
             if here == far:
                 continue
-            state, e, single, pair = 0, s, False, last[s] << 20
-            for c in letter[s:]:
-                state = arc(state << 21 | c)
-                if state is None:
+            state, e, pair = root, s, last[s] << 20
+            for c in text[s:]:
+                if c not in state:
                     break
+                state, k, weight = state[c]
                 e += 1
-                k = ends[state]
                 if k >= 0:
-                    if e == s + 1:
-                        single = True
-                    total = here + weight[k]
+                    total = here + weight
                     if total < best[e]:
                         ok = free or follow(pair + k)
                         if ok is None:
                             ok = self._admits(last[s], k)
                         if ok:
                             best[e], last[e], before[e] = total, k, s
-            if not single and here + self.fallback < best[s + 1]:
+            if here + self.fallback < best[s + 1] and (text[s] not in root or root[text[s]][1] < 0):
                 best[s + 1], last[s + 1], before[s + 1] = here + self.fallback, -1, s
         path = []
         at = n
@@ -225,7 +226,10 @@ class Transducer(UnitMemo):
     def unit(self, text: str) -> list[int]:  # type: ignore[override]
         out: list[int] = []
         at, unknown = 0, False
-        for k in self.shortest(text)[0]:
+        path = self.shortest(text)[0]
+        if -1 not in path:
+            return path
+        for k in path:
             if k >= 0:
                 out.append(k)
                 at += len(self.pieces[k])

@@ -485,3 +485,24 @@ def test_recall_where_lists_are_pruned(spark):
     rows = [(i, [float(c) for c in v], 1) for i, v in enumerate(np.concatenate([x, y]))]
     got = {r["vec_id"]: r["component_id"] for r in vectors.near_duplicates(vectors_of(spark, rows), list_size=1.25).collect()}
     assert np.mean([got[4000 + i] == got[i] for i in range(1000)]) >= 0.98
+
+
+def test_merging_looks_at_each_pair_once(tmp_path):
+    class Counted(dict):
+        looked = 0
+
+        def get(self, *a):
+            Counted.looked += 1
+            return super().get(*a)
+
+    rng = random.Random(5)
+    fst = sentencepiece.Transducer.__new__(sentencepiece.Transducer)
+    fst.rank = Counted({"".join(rng.choices("ab", k=rng.randint(1, 6))): float(rng.randint(1, 9)) for _ in range(60)})
+    for _ in range(300):
+        text = "".join(rng.choices("abc", k=rng.randint(0, 40)))
+        parts = list(text)
+        while options := [(dict.get(fst.rank, x + y), k) for k, (x, y) in enumerate(zip(parts, parts[1:], strict=False)) if x + y in fst.rank]:
+            k = min(options)[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        Counted.looked = 0
+        assert fst._merge(text) == parts and Counted.looked <= 3 * len(text)
